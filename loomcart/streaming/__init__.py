@@ -1,0 +1,2 @@
+"""Left empty on purpose: every input and report of this library is a finished
+table, so there is no streaming operator to offer."""
