@@ -26,6 +26,10 @@ SLICE = {
     "last_day": datetime.date(1999, 12, 31),
 }
 
+# The library's default is 300 boosting rounds; every round is several Spark jobs,
+# so the registered reports run fewer and bound their fit time.
+QUERY_TREES = 20
+
 # Fitted models by session and folder: the reports of one model share one fit.
 _fits: dict[tuple[str, str, str], object] = {}
 
@@ -100,7 +104,7 @@ def rfm_features_scaled(star: Star) -> DataFrame:
 def kmeans_assign(star: Star) -> DataFrame:
     """Customers by nearest segment centroid, next to their rule-based segment."""
     scaled = segment.scale_rfm(rfm.rfm_segments(star))
-    nearest = segment.nearest_centroid(scaled, segment.segment_centroids(scaled), "rfm_segment")
+    nearest = segment.nearest_centroid(scaled, segment.segment_centroids(scaled), "rfm_segment", k=6)
     return nearest.select("customer_id", "rfm_segment", F.col("nearest").alias("nearest_segment"))
 
 
@@ -110,8 +114,8 @@ def _split_out(df: DataFrame, *columns: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     kmeans = ("kmeans", segment.segment_customers_by_kmeans)
-    clv_fit = ("clv", clv.train_clv)
-    churn_fit = ("churn", churn.train_churn)
+    clv_fit = ("clv", lambda star: clv.train_clv(star, QUERY_TREES))
+    churn_fit = ("churn", lambda star: churn.train_churn(star, QUERY_TREES))
     return {
         # sources, schema, data quality
         "load_report": _on_star(load_report),

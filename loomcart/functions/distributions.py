@@ -6,6 +6,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 Z_TWO_SIDED_5_PERCENT = 1.959963984540054  # normal quantile at 0.975
 Z_POWER_80_PERCENT = 0.8416212335729143  # normal quantile at 0.80
@@ -48,11 +49,11 @@ def _beta_tail(a: float, b: float, x: float) -> float:
     return front * value / a
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_p_value(z: pd.Series) -> pd.Series:
     return z.map(normal_p, na_action="ignore")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def student_p_value(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(a) or pd.isna(b) else student_p(a, b) for a, b in zip(t, df)], dtype="float64")

@@ -13,6 +13,7 @@ from loomcart.functions.distributions import (
 )
 from loomcart.functions.scalar import as_money, ratio
 from loomcart.operators.order_values import completed, order_values
+from loomcart.session import ship_package
 from loomcart.sources.star import Star
 
 CONTROL = "control"
@@ -61,7 +62,7 @@ def group_moments(star: Star) -> DataFrame:
             F.sum(value * value).alias("squares"),
         )
     )
-    spent = F.coalesce(F.col("spent"), F.lit(0)).cast("double")
+    spent = F.coalesce(F.col("spent"), F.lit(0))
     return (
         star.customers.select("customer_id", "ab_test_group")
         .join(per_customer, "customer_id", "left")
@@ -69,8 +70,8 @@ def group_moments(star: Star) -> DataFrame:
         .agg(
             F.count("customer_id").alias("customers"),
             F.count_if(F.coalesce(F.col("orders"), F.lit(0)) > 0).alias("converted"),
-            F.avg(spent).alias("spend_mean"),
-            F.var_samp(spent).alias("spend_var"),
+            ratio(F.sum(spent), F.count("customer_id")).alias("spend_mean"),
+            F.var_samp(spent.cast("double")).alias("spend_var"),
             F.coalesce(F.sum("valued"), F.lit(0)).alias("orders"),
             F.sum("spent").cast("double").alias("order_sum"),
             F.sum("squares").cast("double").alias("order_squares"),
@@ -155,6 +156,7 @@ def ab_mde(star: Star) -> DataFrame:
 
 def ab_summary(star: Star) -> DataFrame:
     """One row per metric with both groups, the p-value and the 5% verdict."""
+    ship_package(star.orders.sparkSession)  # the p-values are Python
     none = F.lit(None).cast("double")
 
     def metric(name: str, column: str, stat: Column, df: Column) -> Column:

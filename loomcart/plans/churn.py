@@ -67,7 +67,6 @@ def train_churn(star: Star, trees: int = TREES) -> ChurnRun:
         maxDepth=DEPTH,
         stepSize=RATE,
         seed=SEED,
-        cacheNodeIds=True,
     )
     model = learner.fit(train)
     scored = model.transform(encoded).withColumn("p", vector_to_array("probability")[1])

@@ -40,7 +40,7 @@ def train_clv(star: Star, trees: int = TREES) -> ClvRun:
     table = materialise(clv_split(star), "clv")
     encoded = fit_encoder(table, NUMBERS, CATEGORIES).transform(table)
     learner = GBTRegressor(
-        labelCol="spend_next90", maxIter=trees, maxDepth=DEPTH, stepSize=RATE, seed=SEED, cacheNodeIds=True
+        labelCol="spend_next90", maxIter=trees, maxDepth=DEPTH, stepSize=RATE, seed=SEED
     )
     model = learner.fit(encoded.where(~F.col("is_test")).select("features", "spend_next90"))
     return ClvRun(model.transform(encoded), feature_names(encoded), model)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcart.plans.churn import ChurnRun
-from loomcart.session import scratch_path
+from loomcart.session import scratch_path, ship_package
 
 
 @dataclass(frozen=True)
@@ -119,6 +119,7 @@ def attribute(matrix: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
 def explain_margin(run: ChurnRun, rows: DataFrame) -> DataFrame:
     """(customer_id, margin, base, phi): ``base`` plus the sum of ``phi`` is the margin."""
     spark = rows.sparkSession
+    ship_package(spark)
     trees = saved_nodes(spark, run.model)
     leaves = [leaf for t, nodes in sorted(trees.items()) for leaf in leaves_of(nodes, run.model.treeWeights[t])]
     base = float(sum(leaf.expected for leaf in leaves))

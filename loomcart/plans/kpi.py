@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Sequence
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,13 +63,13 @@ def apply_slicers(
     if customers is not star.customers:
         # customer_id is unique, so the inner lookup acts as a semi-join that tolerates hot customers.
         orders = lookup(orders, customers.select("customer_id"), "customer_id", spread="order_id", how="inner")
+    orders = orders.select(star.orders.columns)
     kept = orders.select("order_id")
-    return replace(
-        star,
-        customers=customers,
-        orders=orders.select(star.orders.columns),
-        order_items=_of_orders(star.order_items, kept),
-        net_lines=None if star.net_lines is None else _of_orders(star.net_lines, kept),
+    return star.with_tables(
+        customers=lambda: customers,
+        orders=lambda: orders,
+        order_items=lambda: _of_orders(star.order_items, kept),
+        lines=lambda: _of_orders(star.lines, kept),
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcart.functions.scalar import ratio
+from loomcart.functions.scalar import as_money, ratio
 from loomcart.plans.abtest import CONTROL, TREATMENT, group_moments
 from loomcart.sources.star import Star
 
@@ -52,25 +52,31 @@ def promo_assumptions(star: Star, lift_per_point: float = LIFT_PER_POINT) -> Dat
 
 
 def promo_scenario(assumptions: DataFrame, discounts: Sequence[float] = DISCOUNTS) -> DataFrame:
-    """Each row of ``assumptions`` under each discount.
+    """Each row of ``assumptions`` under each discount, in exact decimals.
 
     The projected conversion is not capped at 1, and the discount is taken off
     the margin rate as well as off the price.
     """
-    grid = assumptions.select("*", F.explode(F.array(*[F.lit(float(d)) for d in discounts])).alias("discount"))
+    offered = F.array(*[F.lit(d).cast("decimal(5,2)") for d in discounts])
     d = F.col("discount")
     return (
-        grid.withColumn("rate", F.col("conversion") + F.col("lift_per_point") * d * 100)
-        .withColumn("buyers", F.round(F.col("reached") * F.col("rate"), 0))
+        assumptions.select(
+            F.col("reached").cast("bigint").alias("reached"),
+            *[F.col(c).cast("decimal(9,6)").alias(c) for c in ("conversion", "lift_per_point", "margin")],
+            F.col("order_value").cast("decimal(15,2)").alias("order_value"),
+            F.explode(offered).alias("discount"),
+        )
+        .withColumn("rate", F.col("conversion") + F.col("lift_per_point") * d * 100)
+        .withColumn("buyers", F.round(F.col("reached") * F.col("rate"), 0).cast("bigint"))
         .withColumn("price", F.col("order_value") * (1 - d))
         .withColumn("revenue", F.col("buyers") * F.col("price"))
         .select(
-            "discount",
-            F.round("rate", 6).alias("projected_conversion"),
-            F.col("buyers").cast("bigint").alias("customers_converted"),
-            F.round("price", 4).alias("effective_order_value"),
-            F.round("revenue", 2).alias("projected_revenue"),
-            F.round(F.col("revenue") * F.greatest(F.col("margin") - d, F.lit(0.0)), 2).alias("projected_margin"),
+            d.cast("double").alias("discount"),
+            F.round("rate", 6).cast("double").alias("projected_conversion"),
+            F.col("buyers").alias("customers_converted"),
+            F.col("price").cast("double").alias("effective_order_value"),
+            as_money(F.col("revenue")).alias("projected_revenue"),
+            as_money(F.col("revenue") * F.greatest(F.col("margin") - d, F.lit(0))).alias("projected_margin"),
         )
     )
 

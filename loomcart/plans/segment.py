@@ -153,19 +153,19 @@ def segment_profile(run: Segmentation) -> DataFrame:
     return profile.join(labels, "cluster").orderBy(F.desc("monetary"))
 
 
-def nearest_centroid(points: DataFrame, centroids: DataFrame, key: str) -> DataFrame:
+def nearest_centroid(points: DataFrame, centroids: DataFrame, key: str, k: int) -> DataFrame:
     """Add ``nearest``: the ``key`` of the closest row of ``centroids``, the smallest key among equals.
 
-    ``centroids`` is a small model-sized frame with the same scaled columns; it
-    travels as one array value.
+    ``centroids`` has at most ``k`` rows with the same scaled columns; it travels as one array value.
     """
-    packed = centroids.agg(F.collect_list(F.struct(key, *SCALED))).scalar()
+    packed = centroids.agg(F.array_sort(F.collect_list(F.struct(key, *SCALED)))).scalar()
 
-    def distance(c: Column) -> Column:
-        return sum((F.pow(F.col(s) - c.getField(s), 2.0) for s in SCALED), F.lit(0.0))
+    def choice(i: int) -> Column:
+        c = F.get(packed, F.lit(i))
+        d = sum((F.pow(F.col(s) - c.getField(s), 2.0) for s in SCALED), F.lit(0.0))
+        return F.when(c.isNotNull(), F.struct(d.alias("d"), c.getField(key).alias("id")))
 
-    choices = F.transform(packed, lambda c: F.struct(distance(c).alias("d"), c.getField(key).alias("id")))
-    return points.withColumn("nearest", F.array_min(choices).getField("id"))
+    return points.withColumn("nearest", F.array_min(F.array(*[choice(i) for i in range(k)])).getField("id"))
 
 
 def segment_centroids(scaled: DataFrame, by: str = "rfm_segment") -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,3 +73,18 @@ def broadcast_limit(spark: SparkSession) -> int:
         if text.endswith(suffix):
             return int(text[: -len(suffix)]) * factor
     return int(text)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = Path(__file__).resolve().parent
+        archive = shutil.make_archive(
+            f"{tempfile.mkdtemp(prefix='loomcart-')}/{package.name}", "zip", package.parent, package.name
+        )
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(app)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import reduce
+from collections.abc import Callable
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,20 +11,61 @@ from pyspark.sql import functions as F
 from loomcart.sources.schemas import SCHEMAS
 
 
-@dataclass(frozen=True)
+Source = Callable[[], DataFrame]
+
+
 class Star:
-    customers: DataFrame
-    products: DataFrame
-    dates: DataFrame
-    orders: DataFrame
-    order_items: DataFrame
-    # Order items without the list price. A loader that must look the price up
-    # sets this, so that net-revenue reports never pay for that join.
-    net_lines: DataFrame | None = None
-
-    @property
+    """Five tables, each given as a function and read on first use: a report touches only what it needs.
+
+    ``lines`` are the order items without the list price. A source that has to
+    look the price up gives them separately, so that net-revenue reports never
+    pay for that join.
+    """
+
+    def __init__(
+        self,
+        customers: Source,
+        products: Source,
+        dates: Source,
+        orders: Source,
+        order_items: Source,
+        lines: Source | None = None,
+    ) -> None:
+        self._sources = {
+            "customers": customers,
+            "products": products,
+            "dates": dates,
+            "orders": orders,
+            "order_items": order_items,
+            "lines": lines or (lambda: self.order_items.drop("unit_price")),
+        }
+
+    def with_tables(self, **tables: Source) -> Star:
+        return Star(**{**self._sources, **tables})
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._sources["customers"]()
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._sources["products"]()
+
+    @cached_property
+    def dates(self) -> DataFrame:
+        return self._sources["dates"]()
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self._sources["orders"]()
+
+    @cached_property
+    def order_items(self) -> DataFrame:
+        return self._sources["order_items"]()
+
+    @cached_property
     def lines(self) -> DataFrame:
-        return self.net_lines if self.net_lines is not None else self.order_items.drop("unit_price")
+        return self._sources["lines"]()
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -36,13 +77,14 @@ class Star:
         }
 
 
-def star_of(tables: dict[str, DataFrame]) -> Star:
+def star_of(read: Callable[[str], DataFrame]) -> Star:
+    """A star from a function that reads a table by its schema name."""
     return Star(
-        tables["dim_customers"],
-        tables["dim_products"],
-        tables["dim_date"],
-        tables["fact_orders"],
-        tables["fact_order_items"],
+        customers=lambda: read("dim_customers"),
+        products=lambda: read("dim_products"),
+        dates=lambda: read("dim_date"),
+        orders=lambda: read("fact_orders"),
+        order_items=lambda: read("fact_order_items"),
     )
 
 
@@ -67,11 +109,11 @@ def read_csv_table(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def read_csv_star(spark: SparkSession, folder: str) -> Star:
-    return star_of({t: read_csv_table(spark, f"{folder}/{t}.csv", t) for t in SCHEMAS})
+    return star_of(lambda t: read_csv_table(spark, f"{folder}/{t}.csv", t))
 
 
 def read_parquet_star(spark: SparkSession, folder: str) -> Star:
-    return star_of({t: conform(spark.read.parquet(f"{folder}/{t}"), t) for t in SCHEMAS})
+    return star_of(lambda t: conform(spark.read.parquet(f"{folder}/{t}"), t))
 
 
 def write_parquet_star(star: Star, folder: str) -> None:
@@ -87,8 +129,9 @@ def register(star: Star) -> None:
 
 def load_report(star: Star) -> DataFrame:
     """Rows per table."""
+    tables = {**star.tables(), "fact_order_items": star.lines}
     counts = [
         df.agg(F.count(F.lit(1)).alias("loaded_rows")).select(F.lit(table).alias("table_name"), "loaded_rows")
-        for table, df in star.tables().items()
+        for table, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)

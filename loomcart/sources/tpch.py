@@ -92,14 +92,25 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def read_star(spark: SparkSession, folder: str) -> Star:
-    customers = _customers(spark, folder)
-    products = _products(spark, folder)
-    orders = _orders(spark, folder)
-    lines = _lines(spark, folder)
-    # Every line item is kept, priced or not, so that the foreign-key check can see orphans.
-    items = lookup(lines, products.select("product_id", "unit_price"), "product_id", spread="order_id").select(
+def _items(lines: DataFrame, products: DataFrame) -> DataFrame:
+    # Every line is kept, priced or not, so that the foreign-key check can see orphans.
+    prices = products.select("product_id", "unit_price")
+    return lookup(lines, prices, "product_id", spread="order_id").select(
         "order_item_id", "order_id", "product_id", "quantity", "unit_price", "line_total"
     )
-    days = customers.select(F.col("signup_date").alias("date")).union(orders.select("order_date"))
-    return Star(customers, products, calendar_covering(days), orders, items, net_lines=lines)
+
+
+def _days(customers: DataFrame, orders: DataFrame) -> DataFrame:
+    return calendar_covering(customers.select(F.col("signup_date").alias("date")).union(orders.select("order_date")))
+
+
+def read_star(spark: SparkSession, folder: str) -> Star:
+    star = Star(
+        customers=lambda: _customers(spark, folder),
+        products=lambda: _products(spark, folder),
+        dates=lambda: _days(star.customers, star.orders),
+        orders=lambda: _orders(spark, folder),
+        order_items=lambda: _items(star.lines, star.products),
+        lines=lambda: _lines(spark, folder),
+    )
+    return star
