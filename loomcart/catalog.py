@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loomcart.functions.scalar import as_money
 from loomcart.operators import features, quality, tagging
 from loomcart.plans import abtest, churn, clv, cohort, exec_summary, explain, growth, kpi, rfm, scenario, segment
-from loomcart.session import scratch_path
+from loomcart.session import materialise, scratch_path
 from loomcart.sources import sinks
 from loomcart.sources.schemas import SCHEMAS
 from loomcart.sources.star import Star, load_report, read_csv_table
@@ -97,14 +97,14 @@ def _money_out(df: DataFrame) -> DataFrame:
 
 
 def rfm_features_scaled(star: Star) -> DataFrame:
-    scaled = segment.scale_rfm(rfm.rfm_raw(star))
+    scaled = segment.scale_rfm(materialise(rfm.rfm_raw(star), "rfm"))
     return scaled.select("customer_id", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in segment.SCALED])
 
 
 def kmeans_assign(star: Star) -> DataFrame:
     """Customers by nearest segment centroid, next to their rule-based segment."""
-    scaled = segment.scale_rfm(rfm.rfm_segments(star))
-    nearest = segment.nearest_centroid(scaled, segment.segment_centroids(scaled), "rfm_segment", k=6)
+    scaled = segment.scale_rfm(materialise(rfm.rfm_segments(star), "rfm"))
+    nearest = segment.nearest_centroid(scaled, segment.segment_centroids(scaled), "rfm_segment")
     return nearest.select("customer_id", "rfm_segment", F.col("nearest").alias("nearest_segment"))
 
 

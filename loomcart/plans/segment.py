@@ -9,10 +9,10 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from loomcart.plans.rfm import rfm_scores, segment_of
+from loomcart.plans.rfm import rfm_segments
 from loomcart.session import materialise
 from loomcart.sources.star import Star
 
@@ -22,30 +22,29 @@ K_RANGE = range(2, 9)
 STARTS = 10
 SEED = 42
 PARALLEL_FITS = 8
+MAX_CENTROIDS = 1000
 SCALED = ["recency_scaled", "frequency_scaled", "monetary_scaled"]
 
 
 def scale_rfm(rfm: DataFrame) -> DataFrame:
     """Log of frequency and monetary, then mean 0 and population deviation 1 per column.
 
-    A constant column is centred but not divided.
+    A constant column is centred but not divided. The moments are one row, read
+    ahead: give a written-out frame, so that the fact tables are not scanned twice.
     """
-    raw = {
-        "recency_scaled": F.col("recency_days").cast("double"),
-        "frequency_scaled": F.log1p(F.col("frequency").cast("double")),
-        "monetary_scaled": F.log1p(F.col("monetary").cast("double")),
-    }
-    logged = rfm.withColumns(raw)
-    moments = logged.agg(*[F.struct(F.avg(c), F.stddev_pop(c)).alias(c) for c in SCALED])
-    stats = moments.select(
-        F.struct(*[F.struct(F.col(f"{c}.col1").alias("mean"), F.col(f"{c}.col2").alias("std")).alias(c) for c in SCALED])
-    ).scalar()
-
-    def standard(c: str) -> Column:
-        std = stats.getField(c).getField("std")
-        return (F.col(c) - stats.getField(c).getField("mean")) / F.when(std > 0, std).otherwise(1.0)
-
-    return logged.withColumns({c: standard(c) for c in SCALED})
+    logged = rfm.withColumns(
+        {
+            "recency_scaled": F.col("recency_days").cast("double"),
+            "frequency_scaled": F.log1p(F.col("frequency").cast("double")),
+            "monetary_scaled": F.log1p(F.col("monetary").cast("double")),
+        }
+    )
+    moments = logged.agg(
+        *[F.avg(c).alias(f"{c}_mean") for c in SCALED], *[F.stddev_pop(c).alias(f"{c}_std") for c in SCALED]
+    ).first()
+    return logged.withColumns(
+        {c: (F.col(c) - F.lit(moments[f"{c}_mean"])) / F.lit(moments[f"{c}_std"] or 1.0) for c in SCALED}
+    )
 
 
 def fit_kmeans(features: DataFrame, k: int, starts: int = STARTS, seed: int = SEED) -> KMeansModel:
@@ -72,10 +71,8 @@ def fit_kmeans_range(
 
 
 def rfm_vectors(star: Star) -> DataFrame:
-    """RFM rows with segment columns and the scaled vector, written out once for the iterative fits."""
-    r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
-    rfm = rfm_scores(star).withColumns({"rfm_total": r + f + m, "rfm_segment": segment_of(r, f, m)})
-    scaled = scale_rfm(materialise(rfm, "rfm"))
+    """RFM rows with the scaled vector, written out once for the iterative fits."""
+    scaled = scale_rfm(materialise(rfm_segments(star), "rfm"))
     return VectorAssembler(inputCols=SCALED, outputCol="features").transform(scaled)
 
 
@@ -153,19 +150,21 @@ def segment_profile(run: Segmentation) -> DataFrame:
     return profile.join(labels, "cluster").orderBy(F.desc("monetary"))
 
 
-def nearest_centroid(points: DataFrame, centroids: DataFrame, key: str, k: int) -> DataFrame:
+def nearest_centroid(points: DataFrame, centroids: DataFrame, key: str) -> DataFrame:
     """Add ``nearest``: the ``key`` of the closest row of ``centroids``, the smallest key among equals.
 
-    ``centroids`` has at most ``k`` rows with the same scaled columns; it travels as one array value.
+    ``centroids`` has one row per cluster or segment, with the same scaled
+    columns; its rows become constants of the expression.
     """
-    packed = centroids.agg(F.array_sort(F.collect_list(F.struct(key, *SCALED)))).scalar()
+    rows = centroids.select(key, *SCALED).take(MAX_CENTROIDS + 1)
+    if not 0 < len(rows) <= MAX_CENTROIDS:
+        raise ValueError(f"expected 1 to {MAX_CENTROIDS} centroids")
 
-    def choice(i: int) -> Column:
-        c = F.get(packed, F.lit(i))
-        d = sum((F.pow(F.col(s) - c.getField(s), 2.0) for s in SCALED), F.lit(0.0))
-        return F.when(c.isNotNull(), F.struct(d.alias("d"), c.getField(key).alias("id")))
+    def choice(row: Row) -> Column:
+        distance = sum((F.pow(F.col(c) - F.lit(row[c]), 2.0) for c in SCALED), F.lit(0.0))
+        return F.struct(distance.alias("distance"), F.lit(row[key]).alias("key"))
 
-    return points.withColumn("nearest", F.array_min(F.array(*[choice(i) for i in range(k)])).getField("id"))
+    return points.withColumn("nearest", F.array_min(F.array(*[choice(r) for r in rows])).getField("key"))
 
 
 def segment_centroids(scaled: DataFrame, by: str = "rfm_segment") -> DataFrame:
