@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomcart.functions.scalar import as_money, month_label, month_start, percent_change, ratio
@@ -60,28 +60,37 @@ def daily_gross(star: Star) -> DataFrame:
 
 
 def growth_by_calendar(monthly: DataFrame) -> DataFrame:
-    """Compare with the same frame shifted by 1 and 12 calendar months.
+    """Compare with 1 and 12 *calendar* months earlier; ``monthly`` has (month, revenue).
 
     A month without revenue leaves its successor without a base, where a row lag
-    would silently use an older month.
+    would silently use an older month. Every month also reports itself forward as
+    the base of the months it precedes: a self-join in one pass over its input.
     """
 
-    def shifted(months: int, name: str) -> DataFrame:
-        return monthly.select(F.add_months("month", months).alias("month"), F.col("revenue").alias(name))
+    def forward(months: int) -> Column:
+        return F.struct(F.add_months("month", months).alias("month"), F.lit(months).alias("shift"), "revenue")
 
-    now = F.col("revenue")
+    def base(months: int) -> Column:
+        return F.max(F.when(F.col("shift") == months, F.col("revenue")))
+
+    now, prior, last_year = F.col("revenue"), F.col("revenue_prior_month"), F.col("revenue_same_month_last_year")
     return (
-        monthly.join(shifted(1, "revenue_prior_month"), "month", "left")
-        .join(shifted(12, "revenue_same_month_last_year"), "month", "left")
+        monthly.select(F.inline(F.array(forward(0), forward(1), forward(12))))
+        .groupBy("month")
+        .agg(
+            F.count_if(F.col("shift") == 0).alias("present"),
+            base(0).alias("revenue"),
+            base(1).alias("revenue_prior_month"),
+            base(12).alias("revenue_same_month_last_year"),
+        )
+        .where("present > 0")
         .select(
             month_label(F.col("month")).alias("month"),
             now.cast("double").alias("completed_revenue"),
-            F.col("revenue_prior_month").cast("double").alias("revenue_prior_month"),
-            F.round(ratio(now - F.col("revenue_prior_month"), F.col("revenue_prior_month")), 6).alias("mom_growth"),
-            F.col("revenue_same_month_last_year").cast("double").alias("revenue_same_month_last_year"),
-            F.round(
-                ratio(now - F.col("revenue_same_month_last_year"), F.col("revenue_same_month_last_year")), 6
-            ).alias("yoy_growth"),
+            prior.cast("double").alias("revenue_prior_month"),
+            F.round(ratio(now - prior, prior), 6).alias("mom_growth"),
+            last_year.cast("double").alias("revenue_same_month_last_year"),
+            F.round(ratio(now - last_year, last_year), 6).alias("yoy_growth"),
         )
     )
 

@@ -68,9 +68,9 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         placed.cast("date").alias("order_date"),
+        # Nested, so that a filter on Completed folds to the first condition and reaches the scan.
         F.when(F.col("o_orderstatus").isin("F", "O"), "Completed")
-        .when(F.col("o_orderpriority") < "3", "Cancelled")
-        .otherwise("Returned")
+        .otherwise(F.when(F.col("o_orderpriority") < "3", "Cancelled").otherwise("Returned"))
         .alias("order_status"),
         F.when(F.col("o_orderkey") % 20 < 11, "Web").otherwise("Mobile App").alias("channel"),
         group.alias("ab_test_group"),
