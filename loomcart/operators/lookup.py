@@ -7,16 +7,34 @@ from pyspark.sql import functions as F
 
 from loomcart.session import broadcast_limit, plan_bytes
 
-HOT_SHARE = 200  # a key is hot when it holds more than 1/200 of the rows, so at most 200 keys are hot
+HOT_SHARE = 0.005  # share of the rows from which a key counts as hot
+DETECTION_ROWS = 1_000_000
 SALTS = 64
 
 
+def hot_keys(df: DataFrame, key: str) -> list:
+    """Keys that hold about ``HOT_SHARE`` of the rows or more.
+
+    Read from a sample, which is enough: which keys are salted decides how evenly
+    the join is spread, never which rows it returns. At half the share as the
+    limit, the answer has at most 400 keys.
+    """
+    keys = df.select(key)
+    rows = keys.count()
+    fraction = min(1.0, DETECTION_ROWS / max(rows, 1))
+    seen = keys if fraction == 1.0 else keys.sample(fraction, seed=1)
+    limit = HOT_SHARE / 2 * rows * fraction
+    found = seen.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
+    return [r[key] for r in found.collect()]
+
+
 def lookup(
     fact: DataFrame,
     dim: DataFrame,
     key: str,
     spread: str,
     how: str = "left",
+    keys_from: DataFrame | None = None,
     dim_bytes_limit: int | None = None,
 ) -> DataFrame:
     """Bring the columns of ``dim`` (unique by ``key``) onto every row of ``fact``.
@@ -26,24 +44,17 @@ def lookup(
     of hot keys are spread over ``SALTS`` sub-keys, chosen by the hash of the
     fact column ``spread``, while only the hot dimension rows are repeated.
     Rows with a null key are spread the same way.
+
+    ``keys_from`` is a cheaper frame with the same keys to look for hot ones,
+    for a ``fact`` that is itself the outcome of a join.
     """
     limit = broadcast_limit(fact.sparkSession) if dim_bytes_limit is None else dim_bytes_limit
     if plan_bytes(dim) <= limit:
         return fact.join(dim, key, how)
 
-    per_key = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    threshold = fact.agg((F.count(F.lit(1)) / HOT_SHARE).alias("_limit")).scalar()
-    hot = per_key.where(F.col(key).isNotNull() & (F.col("_rows") > threshold)).select(
-        key, F.lit(True).alias("_hot")
-    )
-    hot = F.broadcast(hot)  # at most HOT_SHARE rows by construction
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    hot = F.col(key).isin(hot_keys(fact if keys_from is None else keys_from, key))
     salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
-    salted_fact = (
-        fact.join(hot, key, "left")
-        .withColumn("_salt", F.when(is_hot | F.col(key).isNull(), salt).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salted_dim = dim.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    copies = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salted_fact = fact.withColumn("_salt", F.when(hot | F.col(key).isNull(), salt).otherwise(F.lit(0)))
+    salted_dim = dim.withColumn("_salt", F.explode(copies))
     return salted_fact.join(salted_dim, [key, "_salt"], how).drop("_salt")

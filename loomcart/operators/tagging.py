@@ -47,7 +47,7 @@ def line_totals(
         ).select("order_id", "discount_pct", F.coalesce("factor", F.lit(1)).alias("factor"))
     bare = lines.select("order_item_id", "order_id", "product_id", "quantity")
     priced = lookup(bare, products.select("product_id", "unit_price"), "product_id", spread="order_id", how="inner")
-    full = lookup(priced, rates, "order_id", spread="product_id", how="inner")
+    full = lookup(priced, rates, "order_id", spread="product_id", how="inner", keys_from=bare)
     amount = (
         F.col("unit_price") * F.col("quantity") * F.col("factor").cast("decimal(9,4)") * (1 - F.col("discount_pct"))
     )

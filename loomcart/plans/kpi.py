@@ -65,18 +65,19 @@ def apply_slicers(
         orders = lookup(orders, customers.select("customer_id"), "customer_id", spread="order_id", how="inner")
     orders = orders.select(star.orders.columns)
     kept = orders.select("order_id")
+
+    def of_orders(items: DataFrame) -> DataFrame:
+        found = lookup(items, kept, "order_id", spread="product_id", how="inner", keys_from=star.lines)
+        return found.select(items.columns)
+
     return star.with_tables(
         customers=lambda: customers,
         orders=lambda: orders,
-        order_items=lambda: _of_orders(star.order_items, kept),
-        lines=lambda: _of_orders(star.lines, kept),
+        order_items=lambda: of_orders(star.order_items),
+        lines=lambda: of_orders(star.lines),
     )
 
 
-def _of_orders(items: DataFrame, kept: DataFrame) -> DataFrame:
-    return lookup(items, kept, "order_id", spread="product_id", how="inner").select(items.columns)
-
-
 def repeat_purchase_rate(star: Star) -> DataFrame:
     """Customers with more than one order of any status over all customers, buyers or not."""
     customers = star.customers.agg(F.countDistinct("customer_id")).scalar()

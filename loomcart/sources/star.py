@@ -37,7 +37,7 @@ class Star:
             "dates": dates,
             "orders": orders,
             "order_items": order_items,
-            "lines": lines or (lambda: self.order_items.drop("unit_price")),
+            "lines": lines,
         }
 
     def with_tables(self, **tables: Source) -> Star:
@@ -65,7 +65,8 @@ class Star:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return self._sources["lines"]()
+        given = self._sources["lines"]
+        return given() if given else self.order_items.drop("unit_price")
 
     def tables(self) -> dict[str, DataFrame]:
         return {
