@@ -30,23 +30,32 @@ SLICE = {
 # so the registered reports run fewer and bound their fit time.
 QUERY_TREES = 20
 
-# Fitted models by session and folder: the reports of one model share one fit.
+# Table definitions and fitted models by session and folder: reports share both, as
+# they would share registered tables and a saved model. No query result is kept.
+_stars: dict[tuple[str, str], Star] = {}
 _fits: dict[tuple[str, str, str], object] = {}
 
 
+def _star(spark: SparkSession, folder: str) -> Star:
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _stars:
+        _stars[key] = read_star(spark, folder)
+    return _stars[key]
+
+
 def _fitted(name: str, train: Callable[[Star], object], spark: SparkSession, folder: str):
     key = (name, spark.sparkContext.applicationId, folder)
     if key not in _fits:
-        _fits[key] = train(read_star(spark, folder))
+        _fits[key] = train(_star(spark, folder))
     return _fits[key]
 
 
 def _on_star(report: Callable[[Star], DataFrame]) -> Query:
-    return lambda spark, folder: report(read_star(spark, folder))
+    return lambda spark, folder: report(_star(spark, folder))
 
 
 def _on_segments(report: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, folder: report(rfm.rfm_segments(read_star(spark, folder)))
+    return lambda spark, folder: report(rfm.rfm_segments(_star(spark, folder)))
 
 
 def _on_fit(name: str, train: Callable[[Star], object], report: Callable[[object], DataFrame]) -> Query:
@@ -56,7 +65,7 @@ def _on_fit(name: str, train: Callable[[Star], object], report: Callable[[object
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Orders written as CSV with a header and read back with their types."""
     path = scratch_path(spark, "orders-csv")
-    orders = read_star(spark, folder).orders
+    orders = _star(spark, folder).orders
     sinks.write_csv(orders.select(SCHEMAS["fact_orders"].names), path)
     return (
         read_csv_table(spark, path, "fact_orders")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,9 +14,9 @@ from loomcart.sources.star import Star
 TRAITS = ["age", "acquisition_channel", "country"]
 
 
-def eligible_customers(customers: DataFrame, tenure_days: int) -> DataFrame:
-    """Customers who signed up at least ``tenure_days`` before the latest signup."""
-    latest = customers.agg(F.max("signup_date")).scalar()
+def eligible_customers(customers: DataFrame, tenure_days: int, as_of: datetime.date | None = None) -> DataFrame:
+    """Customers who signed up at least ``tenure_days`` before the latest signup, or before ``as_of``."""
+    latest = customers.agg(F.max("signup_date")).scalar() if as_of is None else F.lit(as_of)
     return customers.where(F.col("signup_date") <= F.date_sub(latest, tenure_days))
 
 

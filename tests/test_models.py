@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from loomcart.operators.encode import feature_names, fit_encoder
 from loomcart.operators.calendar import calendar_covering
 from loomcart.plans import churn, clv, explain, segment
+from loomcart.plans.outputs import write_outputs
 from loomcart.sources.schemas import SCHEMAS
 from loomcart.sources.star import Star
 
@@ -168,3 +169,17 @@ def test_nearest_centroid_matches_numpy_and_breaks_ties_by_key(spark):
     for i, *p in points:
         want = min(centres, key=lambda k: (sum((a - b) ** 2 for a, b in zip(p, k[1:])), k[0]))[0]
         assert got[i] == want
+
+
+def test_all_outputs_are_written(spark, planted, tmp_path):
+    write_outputs(planted, str(tmp_path), clv_trees=2, churn_trees=2)
+    rows = {
+        name: spark.read.option("header", True).csv(f"{tmp_path}/{name}").count()
+        for name in ("customer_segments", "segment_profile", "ab_test_results", "clv_predictions", "churn_predictions")
+    }
+    assert rows == {
+        "customer_segments": 240, "segment_profile": 5, "ab_test_results": 3, "clv_predictions": 240, "churn_predictions": 240,
+    }
+    for name in ("clv_model_metrics", "churn_model_metrics"):
+        assert {"model", "metric", "value"} == set(spark.read.json(f"{tmp_path}/{name}").columns)
+    assert "mom_growth_pct" in spark.read.option("header", True).csv(f"{tmp_path}/monthly_revenue").columns
