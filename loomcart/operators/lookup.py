@@ -48,6 +48,8 @@ def lookup(
     ``keys_from`` is a cheaper frame with the same keys to look for hot ones,
     for a ``fact`` that is itself the outcome of a join.
     """
+    if how == "inner" and dim.columns == [key]:
+        how = "left_semi"  # nothing to add, only to filter
     limit = broadcast_limit(fact.sparkSession) if dim_bytes_limit is None else dim_bytes_limit
     if plan_bytes(dim) <= limit:
         return fact.join(dim, key, how)
