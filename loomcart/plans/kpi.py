@@ -46,6 +46,8 @@ def apply_slicers(
     channels: Sequence[str] | None = None,
     first_day: datetime.date | None = None,
     last_day: datetime.date | None = None,
+    signup_from: datetime.date | None = None,
+    signup_to: datetime.date | None = None,
 ) -> Star:
     """Restrict a star to customers and order dates; every report runs on the result.
 
@@ -56,6 +58,10 @@ def apply_slicers(
         customers = customers.where(F.col("country").isin(list(countries)))
     if channels is not None:
         customers = customers.where(F.col("acquisition_channel").isin(list(channels)))
+    if signup_from is not None:
+        customers = customers.where(F.col("signup_date") >= F.lit(signup_from))
+    if signup_to is not None:
+        customers = customers.where(F.col("signup_date") <= F.lit(signup_to))
     if first_day is not None:
         orders = orders.where(F.col("order_date") >= F.lit(first_day))
     if last_day is not None:

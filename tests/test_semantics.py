@@ -271,6 +271,8 @@ def test_slicers_restrict_customers_orders_and_items(spark):
     sliced = kpi.apply_slicers(star.with_tables(customers=lambda: customers), countries=["A"], last_day=date(2024, 2, 1))
     (cards,) = rows(kpi.kpi_cards(sliced))
     assert (cards["total_revenue"], cards["total_orders"], cards["total_customers"]) == (10.0, 1, 1)
+    late = kpi.apply_slicers(star, signup_from=SIGNUP + timedelta(days=1))
+    assert rows(kpi.kpi_cards(late))[0]["total_orders"] == 0
     untouched = rows(kpi.kpi_cards(kpi.apply_slicers(star)))
     assert untouched == rows(kpi.kpi_cards(star))
 
