@@ -24,7 +24,7 @@ from loomcart.session import scratch_path, ship_package
 
 
 @dataclass(frozen=True)
-class Test:
+class Condition:
     """A row passes when the feature is above ``low``, at most ``high`` and, for a category, allowed."""
 
     low: float
@@ -35,7 +35,7 @@ class Test:
 @dataclass(frozen=True)
 class Leaf:
     features: list[int]
-    tests: list[Test]
+    conditions: list[Condition]
     table: np.ndarray  # row: bit mask of passed tests; column: contribution of each feature
     expected: float
 
@@ -67,14 +67,14 @@ def _contributions(value: float, passed_if_unknown: list[float]) -> np.ndarray:
     return table
 
 
-def _merge(test: Test | None, split, goes_left: bool) -> Test:
+def _merge(test: Condition | None, split, goes_left: bool) -> Condition:
     low, high, allowed = (test.low, test.high, test.allowed) if test else (-math.inf, math.inf, None)
     if split["numCategories"] < 0:
         threshold = split["leftCategoriesOrThreshold"][0]
-        return Test(low, min(high, threshold), allowed) if goes_left else Test(max(low, threshold), high, allowed)
+        return Condition(low, min(high, threshold), allowed) if goes_left else Condition(max(low, threshold), high, allowed)
     left = frozenset(split["leftCategoriesOrThreshold"])
     side = left if goes_left else frozenset(float(c) for c in range(split["numCategories"])) - left
-    return Test(low, high, side if allowed is None else allowed & side)
+    return Condition(low, high, side if allowed is None else allowed & side)
 
 
 def leaves_of(nodes: dict[int, object], tree_weight: float) -> Iterator[Leaf]:
@@ -106,7 +106,7 @@ def attribute(matrix: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
         if not leaf.features:
             continue
         mask = np.zeros(len(matrix), dtype=np.int64)
-        for bit, (feature, test) in enumerate(zip(leaf.features, leaf.tests)):
+        for bit, (feature, test) in enumerate(zip(leaf.features, leaf.conditions)):
             x = matrix[:, feature]
             passed = (x > test.low) & (x <= test.high)
             if test.allowed is not None:

@@ -83,8 +83,10 @@ def ship_package(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         package = Path(__file__).resolve().parent
+        _shipped.add(app)
+        if not package.is_dir():
+            return  # imported from an archive that the application already ships
         archive = shutil.make_archive(
             f"{tempfile.mkdtemp(prefix='loomcart-')}/{package.name}", "zip", package.parent, package.name
         )
         spark.sparkContext.addPyFile(archive)
-        _shipped.add(app)

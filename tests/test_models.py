@@ -64,6 +64,14 @@ def test_churn_finds_the_planted_signal(churn_run):
     assert predictions.count() == 240 == predictions.select("customer_id").distinct().count()
 
 
+def test_auc_equals_the_share_of_ordered_pairs(churn_run):
+    test = churn_run.scored.where("is_test").select("churned", "p").collect()
+    gone, stayed = ([r["p"] for r in test if r["churned"] == label] for label in (1, 0))
+    wins = sum((g > s) + 0.5 * (g == s) for g in gone for s in stayed)
+    metrics = {r["metric"]: r["value"] for r in churn.churn_metrics(churn_run).collect()}
+    assert metrics["auc_roc"] == pytest.approx(wins / (len(gone) * len(stayed)), abs=1e-9)
+
+
 def test_churn_top_list_is_sorted(churn_run):
     risks = [(-r["churn_probability"], r["customer_id"]) for r in churn.churn_risk_top(churn_run, 20).collect()]
     assert len(risks) == 20 and risks == sorted(risks)
@@ -92,6 +100,10 @@ def test_clv_learns_and_ranks_features(planted):
     metrics = {r["metric"]: r["value"] for r in clv.clv_metrics(run).collect()}
     assert metrics["train_rows"] + metrics["test_rows"] == 240 == clv.clv_predictions(run).count()
     assert metrics["r2"] > 0.7
+    test = [(r["spend_next90"], r["prediction"]) for r in run.scored.where("is_test").collect()]
+    mean = sum(y for y, _ in test) / len(test)
+    assert metrics["mae"] == pytest.approx(sum(abs(y - p) for y, p in test) / len(test))
+    assert metrics["r2"] == pytest.approx(1 - sum((y - p) ** 2 for y, p in test) / sum((y - mean) ** 2 for y, _ in test))
     top = clv.clv_importance(run).collect()
     assert top[0]["feature"] in ("spend_first90", "avg_order_value_first90")
     assert [r["importance"] for r in top] == sorted((r["importance"] for r in top), reverse=True)
