@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from loomcart.operators.encode import feature_names, fit_encoder
 from loomcart.operators.calendar import calendar_covering
-from loomcart.plans import churn, clv, explain, segment
+from loomcart.plans import churn, clv, explain, kpi, segment
 from loomcart.plans.outputs import write_outputs
 from loomcart.sources.schemas import SCHEMAS
 from loomcart.sources.star import Star
@@ -169,6 +169,9 @@ def test_inertia_falls_with_k_and_everyone_gets_a_cluster(spark, planted):
     profile = segment.segment_profile(run).collect()
     assert [r["segment_label"] for r in profile] == segment.LABELS
     assert sum(r["customers"] for r in profile) == 240
+    breakdown = kpi.segment_breakdown(run.customers, by="segment_label").collect()
+    assert {r["segment_label"] for r in breakdown} == set(segment.LABELS)
+    assert sum(r["pct_of_base"] for r in breakdown) == pytest.approx(1, abs=0.003)
 
 
 def test_nearest_centroid_matches_numpy_and_breaks_ties_by_key(spark):

@@ -67,6 +67,9 @@ def test_salted_lookup_equals_plain_join(spark, how):
     plain = fact.join(dim, "key", how)
     assert salted.columns == plain.columns
     assert sorted(map(repr, salted.collect())) == sorted(map(repr, plain.collect()))
+    known = dim.select("key")
+    filtered = lookup(fact, known, "key", spread="row", how="inner", dim_bytes_limit=-1)
+    assert sorted(map(repr, filtered.collect())) == sorted(map(repr, fact.join(known, "key").collect()))
 
 
 def test_salted_lookup_spreads_the_hot_key(spark):
