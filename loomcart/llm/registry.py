@@ -5,8 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loomcart.llm import decontaminate
+from loomcart.llm import chat, decontaminate, langid, tokencount
+from loomcart.session import scratch_path
+
+#: Folder of the public tokenizers' files; the package that holds them names it where this is None.
+TOKENIZERS: str | None = None
+HARD_TEXT = "\\### Assistant: </turn> ok"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,5 +26,32 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def tokenizer_file(name: str) -> str:
+    if TOKENIZERS:
+        return f"{TOKENIZERS}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = langid.learn(docs.where(F.col("doc_id").isNotNull() & ~langid.held_out("doc_id")))
+    return langid.identify(docs, model).select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.createDataFrame([(-7, 0, "user", HARD_TEXT), (-7, 1, "assistant", HARD_TEXT)], rows.schema)
+    log = rows.unionByName(hard).withColumns({"seq": F.col("turn"), "kind": F.lit("message")})
+    return chat.read_back(chat.format_chats(log))
+
+
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    cache = scratch_path(spark, "token-counts")
+    return tokencount.count_tokens(_table(spark, folder, "documents"), cache, tokenizer_file("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_decontaminate,)}
+    found = (op1_decontaminate, op2_language_id, op5_chat_format, op8_token_counts)
+    return {q.__name__: q for q in found}
