@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LAST_ID = 2**63 - 1  # where a null id sorts
+ROW_BYTES = 64  # what a row counts besides its text
 
 
 def ascii_lower(text: Column) -> Column:
@@ -31,7 +32,7 @@ def text_chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int) -> Ite
         start = 0
         for row in range(batch.num_rows):
             value = column[row]
-            size += len(value.as_buffer()) if value.is_valid else 0
+            size += ROW_BYTES + (len(value.as_buffer()) if value.is_valid else 0)
             if size >= limit:
                 held.append(batch.slice(start, row + 1 - start))
                 yield pa.Table.from_batches(held)

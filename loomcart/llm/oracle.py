@@ -25,5 +25,42 @@ FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+# Texts as hex digits, two for each byte, so that substr works on bytes.
+OP3 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT doc_id, h, unnest(range(1, CAST(length(h) / 2 - 48 AS BIGINT))) AS i FROM d WHERE length(h) >= 100),
+windows AS (SELECT doc_id, i, md5_number(substr(h, 2 * i - 1, 100)) AS w FROM starts),
+first AS (SELECT w, min(doc_id) AS doc_id FROM windows GROUP BY w),
+hit AS (SELECT v.doc_id, v.i FROM windows v JOIN first f ON f.w = v.w AND f.doc_id < v.doc_id),
+bytes AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM hit),
+removed AS (SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS run FROM bytes),
+spans AS (SELECT doc_id, min(p) AS a, max(p) + 1 AS b FROM removed GROUP BY doc_id, run),
+counts AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id),
+edges AS (SELECT doc_id, b AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS b FROM spans
+  UNION ALL SELECT doc_id, 1, min(a) FROM spans GROUP BY doc_id),
+kept AS (SELECT e.doc_id, string_agg(substr(h, CAST(2 * e.a - 1 AS BIGINT),
+    CAST(2 * (coalesce(e.b, length(h) // 2 + 1) - e.a) AS BIGINT)), '' ORDER BY e.a) AS k
+  FROM edges e JOIN d USING (doc_id) GROUP BY e.doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+OP4 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS phrase FROM starts),
+first AS (SELECT phrase, min(doc_id) AS doc_id FROM windows GROUP BY phrase),
+hit AS (SELECT v.doc_id, v.i FROM windows v JOIN first f ON f.phrase = v.phrase AND f.doc_id < v.doc_id),
+removed AS (SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM hit) GROUP BY 1),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY p) AS k FROM words x
+  LEFT JOIN (SELECT doc_id, unnest(gone) AS p FROM removed) g USING (doc_id, p) WHERE g.p IS NULL GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": OP1}
+    return {"op1_decontaminate": OP1, "op3_suffix_array": OP3, "op4_substring": OP4}

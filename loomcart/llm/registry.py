@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcart.llm import chat, decontaminate, langid, tokencount
+from loomcart.llm import chat, decontaminate, langid, substring, suffixarray, tokencount
 from loomcart.session import scratch_path
 
 #: Folder of the public tokenizers' files; the package that holds them names it where this is None.
@@ -40,6 +40,16 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixarray.suffix_array_dedup(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op4_substring(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring.substring_dedup(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     hard = spark.createDataFrame([(-7, 0, "user", HARD_TEXT), (-7, 1, "assistant", HARD_TEXT)], rows.schema)
@@ -53,5 +63,5 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_decontaminate, op2_language_id, op5_chat_format, op8_token_counts)
+    found = (op1_decontaminate, op2_language_id, op3_suffix_array, op4_substring, op5_chat_format, op8_token_counts)
     return {q.__name__: q for q in found}
