@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcart.llm import chat, decontaminate, langid, substring, suffixarray, tokencount, warc
+from loomcart.llm import chat, decontaminate, langid, minhash, substring, suffixarray, tokencount, warc
 from loomcart.session import scratch_path
 
 #: Folder of the public tokenizers' files; the package that holds them names it where this is None.
@@ -63,11 +63,15 @@ def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_archives(spark, archives).drop("payload", "url")
 
 
+def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     cache = scratch_path(spark, "token-counts")
     return tokencount.count_tokens(_table(spark, folder, "documents"), cache, tokenizer_file("piece_bpe_32k.model"))
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_decontaminate, op2_language_id, op3_suffix_array, op4_substring, op5_chat_format, op6_warc, op8_token_counts)
+    found = (op1_decontaminate, op2_language_id, op3_suffix_array, op4_substring, op5_chat_format, op6_warc, op7_minhash, op8_token_counts)
     return {q.__name__: q for q in found}
