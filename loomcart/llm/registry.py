@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcart.llm import chat, decontaminate, langid, minhash, substring, suffixarray, tokencount, warc
+from loomcart.llm import chat, decontaminate, langid, minhash, packing, substring, suffixarray, tokencount, warc
 from loomcart.session import scratch_path
 
 #: Folder of the public tokenizers' files; the package that holds them names it where this is None.
@@ -72,6 +72,11 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokencount.count_tokens(_table(spark, folder, "documents"), cache, tokenizer_file("piece_bpe_32k.model"))
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    ranks, model = tokenizer_file("byte_bpe_50k.tiktoken"), tokenizer_file("byte_bpe_50k.json")
+    return packing.pack(_table(spark, folder, "documents"), ranks, model)
+
+
 def queries() -> dict[str, Query]:
-    found = (op1_decontaminate, op2_language_id, op3_suffix_array, op4_substring, op5_chat_format, op6_warc, op7_minhash, op8_token_counts)
+    found = (op1_decontaminate, op2_language_id, op3_suffix_array, op4_substring, op5_chat_format, op6_warc, op7_minhash, op8_token_counts, op9_packing)
     return {q.__name__: q for q in found}
