@@ -93,8 +93,8 @@ def decontaminate(
     """Which words of each document lie inside a benchmark window.
 
     A window is ``window`` consecutive words of an item, or the whole item if it has fewer words but any. Result, one
-    row per input row: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, spans``; ``spans`` are the
-    hit word ranges ``(start, stop)``, sorted and merged.
+    row per input row: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, spans`` and the ``digest``
+    (xxhash64) of the text; ``spans`` are the hit word ranges ``(start, stop)``, sorted and merged.
 
     Null or empty texts have no words, items without words no window. Repeated rows and null ids are rows like others. A
     null item id marks words but is not listed. Columns other than id and text are ignored on both sides.
@@ -186,6 +186,7 @@ def decontaminate(
         .join(hits, F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d.digest") == F.col("h.digest")), "left")
         .select(
             "d.doc_id",
+            "d.digest",
             "d.n_words",
             F.coalesce("h.spans", F.array().cast("array<struct<start:int,stop:int>>")).alias("spans"),
             F.coalesce("h.items", F.array().cast("array<string>")).alias("items"),
@@ -202,4 +203,13 @@ def decontaminate(
         (n_hit > 0).alias("contaminated"),
         "items",
         "spans",
+        "digest",
+    )
+
+
+def without_contaminated(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which ``found``, made from them, has no hit; all columns stay."""
+    bad = found.where("contaminated").select(F.col("doc_id").alias("bad_id"), F.col("digest").alias("bad_digest")).distinct()
+    return docs.join(
+        bad, F.col(doc_id).eqNullSafe(F.col("bad_id")) & (F.xxhash64(text) == F.col("bad_digest")), "left_anti"
     )

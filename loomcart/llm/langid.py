@@ -103,6 +103,18 @@ def decide(langs: list[str], totals: list[int]) -> tuple[str, float, bool]:
     return langs[order[0]], score, second - best < MIN_MARGIN
 
 
+def _judge(texts: list[str | None], langs: list[str], compressors: tuple[list, list]) -> list[tuple[str, float, bool]]:
+    usual, short = compressors
+    out = []
+    for value in texts:
+        if not langs or value is None or not _LETTER.search(value):
+            out.append((UNKNOWN, 0.0, True))
+        else:
+            ready = prepare(value)
+            out.append(decide(langs, sizes(ready, short if len(ready) < SHORT_BYTES else usual)))
+    return out
+
+
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Predicted language of every row: ``doc_id, lang_pred, score, rejected``, in input rows.
 
@@ -113,15 +125,9 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], doc_id: str = "doc
     langs = list(dictionaries)
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        usual, short = _compressors(dictionaries, LEVEL), _compressors(dictionaries, SHORT_LEVEL)
+        compressors = _compressors(dictionaries, LEVEL), _compressors(dictionaries, SHORT_LEVEL)
         for table in text_chunks(batches, "text", 4 << 20):
-            out = []
-            for value in table["text"].to_pylist():
-                if not langs or value is None or not _LETTER.search(value):
-                    out.append((UNKNOWN, 0.0, True))
-                else:
-                    ready = prepare(value)
-                    out.append(decide(langs, sizes(ready, short if len(ready) < SHORT_BYTES else usual)))
+            out = _judge(table["text"].to_pylist(), langs, compressors)
             pred, score, rejected = zip(*out) if out else ((), (), ())
             yield from pa.table(
                 {
@@ -134,3 +140,17 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], doc_id: str = "doc
 
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return source.mapInArrow(predict, "doc_id long, lang_pred string, score double, rejected boolean")
+
+
+def accepted(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose language is not rejected; nothing is shuffled."""
+    ship_package(docs.sparkSession)
+    langs = list(dictionaries)
+
+    def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressors = _compressors(dictionaries, LEVEL), _compressors(dictionaries, SHORT_LEVEL)
+        for table in text_chunks(batches, text, 4 << 20):
+            judged = _judge(table[text].to_pylist(), langs, compressors)
+            yield from table.filter(pa.array([not rejected for _, _, rejected in judged], pa.bool_())).to_batches()
+
+    return docs.mapInArrow(choose, docs.schema)

@@ -43,5 +43,5 @@ def substring_dedup(
     def match(texts: list[bytes], ids: list[int]) -> Iterator[tuple[int, int, int]]:
         return match_sorted(texts, ids, window)
 
-    found = superkmer.remove_repeats(docs, spec, match, doc_id, text, hot)
+    found = superkmer.remove_repeats(docs, spec, match, doc_id=doc_id, text=text, hot=hot)
     return found.select("doc_id", F.col("n_tokens").alias("n_words"), "n_removed", F.decode("kept", "UTF-8").alias("kept"))

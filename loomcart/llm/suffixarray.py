@@ -8,7 +8,7 @@ family over n positions has about log n levels and each position is merged about
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -112,19 +112,27 @@ def match_levels(texts: list[bytes], docs: list[int], depth: int, batch: int = B
 
 
 def suffix_array_dedup(
-    docs: DataFrame, depth: int = 50, doc_id: str = "doc_id", text: str = "text", hot: int = superkmer.HOT
+    docs: DataFrame,
+    depth: int = 50,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    *,
+    hot: int = superkmer.HOT,
+    carry: Sequence[str] = (),
+    as_text: bool = False,
 ) -> DataFrame:
     """Removes every byte covered by ``depth`` bytes that also start in a document with a smaller id.
 
     Texts are their UTF-8 bytes; matches never cross documents and are judged on the input. Result, one row per input
     row: ``doc_id, n_bytes, n_removed, n_spans, kept`` (binary). Null texts are empty; texts shorter than ``depth`` lose
     nothing. Rows with one id are one document for the comparison, a null id counts as the largest; extra columns are
-    ignored; an empty table gives an empty result.
+    ignored, but for those in ``carry``, which come along in the struct ``carried``; an empty table gives an empty result.
+    With ``as_text``, ``kept`` is a string without characters that lost a byte.
     """
     spec = superkmer.Spec(depth, min(GRAM_BYTES, depth), words=False)
 
     def match(texts: list[bytes], ids: list[int]) -> Iterator[tuple[int, int, int]]:
         return match_levels(texts, ids, depth)
 
-    found = superkmer.remove_repeats(docs, spec, match, doc_id, text, hot)
+    found = superkmer.remove_repeats(docs, spec, match, doc_id=doc_id, text=text, hot=hot, carry=carry, as_text=as_text)
     return found.withColumnRenamed("n_tokens", "n_bytes")

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import itertools
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,17 +25,18 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomcart.llm.common import LAST_ID, text_chunks
 from loomcart.session import materialise, plan_bytes, ship_package
 
 PACK_BYTES = 4 << 20
 #: Tokens that are hashed at once, so that a long document needs no more memory than others.
-STEP = 4 << 20
+STEP = 1 << 18
 #: Super-k-mers of one minimiser beyond which its windows are spread by their own hashes.
 HOT = 20_000
-BUCKET_BYTES = 2 << 20
-MAX_BUCKETS = 1 << 20
+BUCKET_BYTES = 1 << 20
+MAX_BUCKETS = 1 << 30
 MARK_BITS = 48
 
 
@@ -131,7 +132,8 @@ def super_kmers(pack: Pack, spec: Spec) -> tuple[np.ndarray, np.ndarray, np.ndar
         good = valid[at]
         starts.append(at[good] + begin)
         counts.append(number[good])
-        marks.append(least[at[good]] >> np.uint64(64 - MARK_BITS))
+        # Minima are small numbers; mixed again, they spread over all buckets.
+        marks.append(_mix(least[at[good]]) >> np.uint64(64 - MARK_BITS))
     if not starts:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
     return np.concatenate(starts), np.concatenate(counts), np.concatenate(marks)
@@ -157,6 +159,19 @@ def _bucket_of(marks: np.ndarray, buckets: int) -> np.ndarray:
 # Packs
 
 
+def _freeze(column: pa.ChunkedArray) -> bytes:
+    """Carried columns of a pack's rows as a compressed Arrow stream."""
+    sink = pa.BufferOutputStream()
+    table = pa.table({"carried": column})
+    with pa.ipc.new_stream(sink, table.schema) as stream:
+        stream.write_table(table)
+    return zstandard.compress(sink.getvalue().to_pybytes(), 3)
+
+
+def _thaw(blob: bytes) -> pa.Array:
+    return pa.ipc.open_stream(zstandard.decompress(blob)).read_all()["carried"].combine_chunks()
+
+
 def _make_packs(spec: Spec) -> Callable:
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in text_chunks(batches, "text", PACK_BYTES):
@@ -171,8 +186,9 @@ def _make_packs(spec: Spec) -> Callable:
                     "has_id": [bytes(i is not None for i in ids)],
                     "lengths": [_squeeze(np.array([len(t) for t in texts], np.int64))],
                     "text": [zstandard.compress(b"".join(texts), 3)],
+                    "carried": [_freeze(table["carried"])],
                 },
-                schema=pa.schema([("pack", pa.string())] + [(c, pa.binary()) for c in ("ids", "has_id", "lengths", "text")]),
+                schema=pa.schema([("pack", pa.string())] + [(c, pa.binary()) for c in ("ids", "has_id", "lengths", "text", "carried")]),
             )
 
     return make
@@ -396,8 +412,10 @@ def _windows(text: bytes, spec: Spec) -> int:
 # Step 4: results
 
 
-def _apply(spec: Spec) -> Callable:
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
+def _apply(spec: Spec, as_text: bool) -> Callable:
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.string() if as_text else pa.binary())]
+    )
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
@@ -425,31 +443,46 @@ def _apply(spec: Spec) -> Callable:
                 rows["n_tokens"].append(b - a)
                 rows["n_removed"].append(number)
                 rows["n_spans"].append(int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum()))
-                rows["kept"].append(kept)
-            yield pa.RecordBatch.from_pydict(rows, schema=schema)
+                rows["kept"].append(kept.decode("utf-8", "ignore") if as_text else kept)
+            columns = [*pa.RecordBatch.from_pydict(rows, schema=schema).columns, _thaw(row["carried"])]
+            yield pa.RecordBatch.from_arrays(columns, names=[*schema.names, "carried"])
 
     return apply
 
 
-def remove_repeats(docs: DataFrame, spec: Spec, match: Matcher, doc_id: str, text: str, hot: int = HOT) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame,
+    spec: Spec,
+    match: Matcher,
+    *,
+    doc_id: str,
+    text: str,
+    hot: int = HOT,
+    carry: Sequence[str] = (),
+    as_text: bool = False,
+) -> DataFrame:
     """``doc_id, n_tokens, n_removed, n_spans, kept`` of every input row; ``kept`` holds the tokens outside every window
-    that also starts in a document with a smaller id, joined as the tokens were."""
+    that also starts in a document with a smaller id, joined as the tokens were. The columns named in ``carry`` come
+    along in the struct ``carried``. With ``as_text`` the kept bytes are text without characters that lost a byte."""
     ship_package(docs.sparkSession)
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    carried = F.struct(*[F.col(c) for c in carry]) if carry else F.struct(F.lit(None).cast("int").alias("none"))
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), carried.alias("carried"))
     buckets = int(min(MAX_BUCKETS, max(64, plan_bytes(source) // BUCKET_BYTES)))
-    packed = source.mapInArrow(_make_packs(spec), "pack string, ids binary, has_id binary, lengths binary, text binary")
+    packed = source.mapInArrow(_make_packs(spec), "pack string, ids binary, has_id binary, lengths binary, text binary, carried binary")
     packs = materialise(packed, "packs")
-    marks = packs.mapInArrow(_send_marks(spec, buckets), MARKS_SQL)
+    marks = packs.drop("carried").mapInArrow(_send_marks(spec, buckets), MARKS_SQL)
     answers = (
         marks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_answer(hot), ANSWER_SQL)
         .groupBy("pack").agg(F.collect_list(F.struct("bucket", "flags")).alias("answers"))
     )
-    texts = packs.join(answers.hint("shuffle_hash"), "pack").mapInArrow(_send_texts(spec, buckets), TEXTS_SQL)
+    bare = packs.drop("carried")
+    texts = bare.join(answers.hint("shuffle_hash"), "pack").mapInArrow(_send_texts(spec, buckets), TEXTS_SQL)
     # Covers that a pack has found itself need no bucket; they are spread by pack.
     dealt = texts.repartition("bucket", F.when(F.col("bucket") < 0, F.col("pack"))).sortWithinPartitions("bucket")
     covers = (
         dealt.mapInArrow(_match_bucket(spec, match), COVERS_SQL).groupBy("pack").agg(F.collect_list("covers").alias("answers"))
     )
-    return packs.join(covers.hint("shuffle_hash"), "pack", "left").mapInArrow(
-        _apply(spec), "doc_id long, n_tokens long, n_removed long, n_spans long, kept binary"
-    )
+    kinds = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "n_tokens", "n_removed", "n_spans")])
+    kinds = kinds.add("kept", T.StringType() if as_text else T.BinaryType()).add(source.schema["carried"])
+    found = packs.join(covers.hint("shuffle_hash"), "pack", "left").mapInArrow(_apply(spec, as_text), kinds)
+    return found if carry else found.drop("carried")
