@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcart.llm import chat, decontaminate, langid, minhash, packing, substring, suffixarray, tokencount, warc
+from loomcart.llm import chat, decontaminate, langid, minhash, packing, substring, suffixarray, tokencount, topk, warc
 from loomcart.session import scratch_path
 
 #: Folder of the public tokenizers' files; the package that holds them names it where this is None.
@@ -77,6 +77,21 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), ranks, model)
 
 
+def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(_table(spark, folder, "documents"), F.col("doc_id") % 50 == 0)
+
+
 def queries() -> dict[str, Query]:
-    found = (op1_decontaminate, op2_language_id, op3_suffix_array, op4_substring, op5_chat_format, op6_warc, op7_minhash, op8_token_counts, op9_packing)
+    found = (
+        op1_decontaminate,
+        op2_language_id,
+        op3_suffix_array,
+        op4_substring,
+        op5_chat_format,
+        op6_warc,
+        op7_minhash,
+        op8_token_counts,
+        op9_packing,
+        op10_topk,
+    )
     return {q.__name__: q for q in found}
