@@ -5,9 +5,10 @@ compared batch by batch, and it is dropped once the posterior probability that i
 falls below the chosen miss probability; survivors are verified on their full sets, rebuilt from the texts.
 
 Pairs are never listed within a whole band bucket. First every node of a bucket meets the bucket's most central node,
-the one with the smallest share of shingles that no other candidate has. Connected nodes then need no comparison, and
-only nodes outside a bucket's largest component meet the bucket's nodes of other components, where the exact bound from
-their own shingles allows a link at all.
+the one with the smallest share of shingles that no other candidate has. Connected nodes then need no comparison. Where
+a bucket still holds several components, a task compares the nodes outside its largest one with the nodes of other
+components, where the exact bound from their own shingles allows a link at all, and returns links alone. Large buckets
+are dealt out over a grid of blocks of nodes.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ CHUNK_BYTES = 2 << 20
 CROWD = 16
 #: Members of one pair group that a task verifies against one text.
 GROUP = 256
+#: Nodes of a bucket that a task compares with each other; larger buckets are dealt out in blocks of so many.
+BLOCK = 4096
 _LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 _STEP_WORDS = 1 << 11
 
@@ -228,6 +231,55 @@ def _links(pairs: DataFrame, pool: DataFrame, percent: int, miss: float, label:
     return materialise(dealt.mapInArrow(_verified(percent), "a long, b long, linked boolean"), f"{label}-verified")
 
 
+_CROSS = ["band", "one", "two", "block", "node", "component", "top", "n", "own", "rows", "keys", "sig", "packed"]
+
+
+def _crossed(percent: int, miss: float):
+    """Links between components inside the cells of buckets; rows come sorted by cell."""
+
+    def cross(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ({name: b.column(j)[i].as_py() for j, name in enumerate(_CROSS)} for b in batches for i in range(b.num_rows))
+        for (band, one, two), group in itertools.groupby(rows, key=lambda r: (r["band"], r["one"], r["two"])):
+            members = list(group)
+            links = list(_cell_links(members, band, one != two, percent, miss))
+            yield pa.RecordBatch.from_pydict(
+                {"a": [a for a, _ in links], "b": [b for _, b in links]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())])
+            )
+
+    return cross
+
+
+def _cell_links(members: list[dict], band: int, between: bool, percent: int, miss: float) -> Iterator[tuple[int, int]]:
+    """Pairs of a cell that are linked and not yet connected; a pair that shares several buckets counts in the first."""
+    node, component, n, own, rows, block = (np.array([m[c] for m in members]) for c in ("node", "component", "n", "own", "rows", "block"))
+    sig = np.frombuffer(b"".join(m["sig"] for m in members), np.uint8).reshape(-1, KEPT)
+    outside = component != members[0]["top"]
+    label = component.copy()
+    sets: dict[int, np.ndarray] = {}
+
+    def full(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = shingles(zstandard.decompress(members[i]["packed"]))
+        return sets[i]
+
+    for i in np.flatnonzero(outside):
+        most = np.minimum(n[i] - own[i], n - own)
+        fits = (100 * most >= percent * (n[i] + n - most)) | (rows[i] > 1) | (rows > 1)
+        fits &= (component != component[i]) & (~outside | (node > node[i]))
+        if between:
+            fits &= block != block[i]
+        others = np.flatnonzero(fits)
+        others = others[survivors(np.broadcast_to(sig[i], (len(others), KEPT)), sig[others], percent / 100, miss)]
+        for j in others:
+            if label[i] == label[j] or min(set(members[i]["keys"]) & set(members[j]["keys"])) != band:
+                continue
+            a, b = full(i), full(j)
+            common = len(np.intersect1d(a, b, assume_unique=True))
+            if 100 * common >= percent * (len(a) + len(b) - common):
+                label[label == label[j]] = label[i]
+                yield int(min(node[i], node[j])), int(max(node[i], node[j]))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, component``: the smallest node each node of an edge list (a, b) is connected to.
 
@@ -284,7 +336,8 @@ def near_duplicates(
 
     members = colliding.select("node").distinct()
     alike = classes.join(members, F.col("rep") == F.col("node"), "left_semi").select(F.col("rep").alias("node"))
-    texts = source.join(alike.distinct(), "node", "left_semi").where(F.length("text") > 0)
+    # By a shuffle at every size: a broadcast would fit small tables alone.
+    texts = source.join(alike.distinct().hint("merge"), "node", "left_semi").where(F.length("text") > 0)
     pool = materialise(texts.mapInArrow(_pack, _POOL), "pool").where("n > 0")
 
     crowded = colliding.where("crowded").select("node").distinct()
@@ -325,21 +378,25 @@ def near_duplicates(
         placed.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled"
     )
     sized = labelled.groupBy("band", "component").agg(F.count("*").alias("size"))
-    largest = sized.groupBy("band").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-    mixed = labelled.join(largest.select("band", F.col("top.component").alias("top")), "band")
-    outside = mixed.where("component != top").select(
-        "band", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "own", "rows", "component")]
-    )
-    apart = (F.col("component") == F.col("top")) | (F.col("node") < F.col("node2"))
-    others = (
-        mixed.join(outside, "band").where((F.col("component") != F.col("component2")) & apart & fits)
-        .select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
-        .distinct()
+    largest = (
+        sized.groupBy("band").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts"), F.sum("size").alias("size"))
+        .where("parts > 1").select("band", F.col("top.component").alias("top"), F.ceil(F.col("size") / BLOCK).alias("blocks"))
+    )
+    mixed = materialise(labelled.join(largest, "band").withColumn("block", F.pmod(F.xxhash64("node"), "blocks")), "mixed")
+    keys = mixed.groupBy("node").agg(F.collect_set("band").alias("keys"))  # at most BANDS for each text of a node
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    cells = F.explode(F.transform(every, lambda b: F.struct(F.least("block", b).alias("one"), F.greatest("block", b).alias("two"))))
+    grid = (
+        mixed.select("*", cells.alias("cell")).select("*", "cell.one", "cell.two")
+        .join(keys, "node").join(pool.select("node", "sig", "packed"), "node").select(_CROSS)
+    )
+    crossed = (
+        grid.repartition("band", "one", "two").sortWithinPartitions("band", "one", "two")
+        .mapInArrow(_crossed(percent, miss), "a long, b long")
     )
-    done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = _links(others.join(done, ["a", "b"], "left_anti"), pool, percent, miss, "others")
+    second = materialise(crossed, "crossed")
 
-    found = components(linked.union(second.where("linked").select("a", "b")).union(same))
+    found = components(linked.union(second).union(same))
     return (
         signed.join(found, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))

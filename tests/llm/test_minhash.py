@@ -63,9 +63,10 @@ def corpus(seed, groups, size):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "groups", "size", "crowd"), [(1, 25, 6, 16), (2, 3, 150, 4)])
-def test_components(spark, monkeypatch, seed, groups, size, crowd):
+@pytest.mark.parametrize(("seed", "groups", "size", "crowd", "block"), [(1, 25, 6, 16, 4096), (2, 3, 150, 4, 4096), (3, 3, 150, 4, 20)])
+def test_components(spark, monkeypatch, seed, groups, size, crowd, block):
     monkeypatch.setattr(minhash, "CROWD", crowd)
+    monkeypatch.setattr(minhash, "BLOCK", block)
     rows = corpus(seed, groups, size) + [(1, None), (2, ""), (3, " \t"), (4, None)]
     docs = spark.createDataFrame([(*row, "x", "y") for row in rows], "doc_id long, text string, node string, n string")
     got = sorted(tuple(r) for r in minhash.near_duplicates(docs).collect())
