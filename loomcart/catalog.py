@@ -5,20 +5,24 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcart.functions.scalar import as_money
 from loomcart.operators import features, quality, tagging
+from loomcart.operators.encode import fit_encoder
 from loomcart.plans import abtest, churn, clv, cohort, exec_summary, explain, growth, kpi, rfm, scenario, segment
 from loomcart.session import materialise, scratch_path
 from loomcart.sources import sinks
 from loomcart.sources.schemas import SCHEMAS
-from loomcart.sources.star import Star, load_report, read_csv_table
+from loomcart.sources.star import Star, load_report, read_csv_table, register
 from loomcart.sources.tpch import TEST_END, TEST_START, read_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+SIGNUP_SLICE = {"signup_from": datetime.date(1996, 1, 1), "signup_to": datetime.date(1998, 6, 30)}
+
 SLICE = {
     "countries": ["NATION_1", "NATION_2", "NATION_3", "NATION_5", "NATION_8", "NATION_13"],
     "channels": ["BUILDING", "MACHINERY"],
@@ -26,28 +30,36 @@ SLICE = {
     "last_day": datetime.date(1999, 12, 31),
 }
 
-# The library's default is 300 boosting rounds; every round is several Spark jobs,
-# so the registered reports run fewer and bound their fit time.
-QUERY_TREES = 20
+# Table definitions and fitted models by the state of their files: reports share both, as they would share registered
+# tables and a saved model, and a changed file means new ones. No query result is kept.
+_shared: dict[tuple, object] = {}
+
 
-# Table definitions and fitted models by session and folder: reports share both, as
-# they would share registered tables and a saved model. No query result is kept.
-_stars: dict[tuple[str, str], Star] = {}
-_fits: dict[tuple[str, str, str], object] = {}
+def _files(spark: SparkSession, folder: str) -> tuple:
+    """Name, length and time of every file of a folder of tables."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    out = []
+    while found.hasNext():
+        file = found.next()
+        out.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return tuple(sorted(out))
+
+
+def _kept(name: str, make: Callable[[], object], spark: SparkSession, folder: str):
+    key = (name, spark.sparkContext.applicationId, folder)
+    state = _files(spark, folder)
+    if key not in _shared or _shared[key][0] != state:
+        _shared[key] = (state, make())
+    return _shared[key][1]
 
 
 def _star(spark: SparkSession, folder: str) -> Star:
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _stars:
-        _stars[key] = read_star(spark, folder)
-    return _stars[key]
+    return _kept("star", lambda: read_star(spark, folder), spark, folder)
 
 
 def _fitted(name: str, train: Callable[[Star], object], spark: SparkSession, folder: str):
-    key = (name, spark.sparkContext.applicationId, folder)
-    if key not in _fits:
-        _fits[key] = train(_star(spark, folder))
-    return _fits[key]
+    return _kept(name, lambda: train(_star(spark, folder)), spark, folder)
 
 
 def _on_star(report: Callable[[Star], DataFrame]) -> Query:
@@ -117,14 +129,69 @@ def kmeans_assign(star: Star) -> DataFrame:
     return nearest.select("customer_id", "rfm_segment", F.col("nearest").alias("nearest_segment"))
 
 
+def _labelled(star: Star) -> DataFrame:
+    """Customers in five clusters known beforehand, their recency scores, labelled as fitted clusters are."""
+    clustered = materialise(rfm.rfm_segments(star), "clusters").withColumn("cluster", F.col("r_score") - 1)
+    return segment.label_clusters(clustered, len(segment.LABELS))
+
+
+def _on_labels(report: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, folder: report(_labelled(_star(spark, folder)))
+
+
+def _known_clv(star: Star) -> clv.ClvRun:
+    """Early spend as the prediction of later spend, for the reports around a fit."""
+    return clv.ClvRun(clv.clv_split(star).withColumn("prediction", F.col("spend_first90")), [], None)
+
+
+def _known_churn(star: Star) -> churn.ChurnRun:
+    """A risk that falls with the number of orders, for the reports around a fit."""
+    scored = churn.churn_split(star).withColumn("p", 1 / (1 + F.col("orders_0_180") / 2))
+    vector = F.array(1 - F.col("p"), F.col("p"))
+    return churn.ChurnRun(scored.withColumn("rawPrediction", array_to_vector(vector)), [], None)
+
+
+def _rounded(metrics: DataFrame) -> DataFrame:
+    return metrics.withColumn("value", F.round("value", 9))
+
+
+def churn_one_hot(star: Star) -> DataFrame:
+    """The encoded features of every active customer."""
+    table = materialise(churn.churn_split(star), "one-hot")
+    encoder = fit_encoder(table.where(~F.col("is_test")), churn.NUMBERS, churn.CATEGORIES)
+    return encoder.one_hot(table).select("customer_id", F.array(*[F.col(f"_x{i}") for i in range(len(encoder.names()))]).alias("x")).select(
+        "customer_id", F.posexplode("x").alias("column", "value")
+    )
+
+
+def sql_views(spark: SparkSession, folder: str) -> DataFrame:
+    """A report in SQL over the registered tables."""
+    register(_star(spark, folder))
+    return spark.sql(
+        """SELECT c.country, o.channel, count(*) AS orders, count(DISTINCT o.customer_id) AS customers
+        FROM fact_orders o JOIN dim_customers c ON c.customer_id = o.customer_id
+        WHERE o.order_status = 'Completed' GROUP BY c.country, o.channel"""
+    )
+
+
+def _signed_up(report: Callable[[Star], DataFrame]) -> Query:
+    return lambda spark, folder: report(kpi.apply_slicers(_star(spark, folder), **SIGNUP_SLICE))
+
+
 def _split_out(df: DataFrame, *columns: str) -> DataFrame:
     return df.select("customer_id", *columns, "is_test")
 
 
+TRAINERS = {"kmeans": segment.segment_customers_by_kmeans, "clv": clv.train_clv, "churn": churn.train_churn}
+
+
+def fit_models() -> dict[str, Callable[[SparkSession, str], object]]:
+    """Fits that several queries share, by name; calling one keeps it for them."""
+    return {name: lambda spark, folder, n=name, t=train: _fitted(n, t, spark, folder) for name, train in TRAINERS.items()}
+
+
 def queries() -> dict[str, Query]:
-    kmeans = ("kmeans", segment.segment_customers_by_kmeans)
-    clv_fit = ("clv", lambda star: clv.train_clv(star, QUERY_TREES))
-    churn_fit = ("churn", lambda star: churn.train_churn(star, QUERY_TREES))
+    kmeans, clv_fit, churn_fit = ((name, TRAINERS[name]) for name in ("kmeans", "clv", "churn"))
     return {
         # sources, schema, data quality
         "load_report": _on_star(load_report),
@@ -165,6 +232,17 @@ def queries() -> dict[str, Query]:
         "segment_share": _on_segments(kpi.segment_share),
         "segment_breakdown": _on_segments(kpi.segment_breakdown),
         "segment_drill": _on_segments(lambda d: kpi.segment_drill(d, rfm.AT_RISK)),
+        "labelled_customers": _on_labels(lambda d: d.select("customer_id", "cluster", "segment_label")),
+        "label_profile": _on_labels(
+            lambda d: segment.cluster_profile(d).join(d.select("cluster", "segment_label").distinct(), "cluster").orderBy(F.desc("monetary"))
+        ),
+        "label_customers": _on_labels(lambda d: kpi.segment_customers(d, "segment_label")),
+        "label_revenue": _on_labels(lambda d: kpi.segment_revenue(d, "segment_label")),
+        "label_share": _on_labels(lambda d: kpi.segment_share(d, "segment_label")),
+        "label_breakdown": _on_labels(lambda d: kpi.segment_breakdown(d, "segment_label")),
+        "signup_cohorts": _signed_up(cohort.cohort_retention),
+        "signup_segments": _signed_up(lambda s: kpi.segment_customers(rfm.rfm_segments(s))),
+        "sql_views": sql_views,
         "exec_kpis": _on_star(exec_summary.exec_kpis),
         # experiment
         "ab_readout": _on_star(abtest.ab_readout),
@@ -176,6 +254,7 @@ def queries() -> dict[str, Query]:
         "ab_summary": _on_star(abtest.ab_summary),
         # what-if
         "promo_scenario": _on_star(lambda s: scenario.promo_scenario(scenario.promo_assumptions(s))),
+        "promo_grid": _on_star(lambda s: scenario.promo_scenario(scenario.promo_assumptions(s), scenario.FINE_DISCOUNTS)),
         "promo_best_discount": _on_star(lambda s: scenario.promo_best_discount(scenario.promo_assumptions(s))),
         # features and splits
         "eligible_customers": _on_star(features.eligible_buyers),
@@ -191,6 +270,13 @@ def queries() -> dict[str, Query]:
         "kmeans_elbow": _on_star(segment.kmeans_elbow),
         "kmeans_segments": _on_fit(*kmeans, lambda run: _money_out(segment.kmeans_segments(run))),
         "segment_profile": _on_fit(*kmeans, segment.segment_profile),
+        # the reports around a fit, on predictions that SQL can repeat
+        "churn_one_hot": _on_star(churn_one_hot),
+        "known_clv_metrics": _on_star(lambda s: _rounded(clv.clv_metrics(_known_clv(s)))),
+        "known_churn_metrics": _on_star(lambda s: _rounded(churn.churn_metrics(_known_churn(s)))),
+        "known_churn_report": _on_star(lambda s: churn.churn_class_report(_known_churn(s))),
+        "known_churn_averages": _on_star(lambda s: churn.churn_report_averages(_known_churn(s))),
+        "known_churn_top100": _on_star(lambda s: churn.churn_risk_top(_known_churn(s))),
         # models
         "clv_predictions": _on_fit(*clv_fit, clv.clv_predictions),
         "clv_metrics": _on_fit(*clv_fit, clv.clv_metrics),
@@ -198,6 +284,7 @@ def queries() -> dict[str, Query]:
         "churn_predictions": _on_fit(*churn_fit, churn.churn_predictions),
         "churn_metrics": _on_fit(*churn_fit, churn.churn_metrics),
         "churn_class_report": _on_fit(*churn_fit, churn.churn_class_report),
+        "churn_report_averages": _on_fit(*churn_fit, churn.churn_report_averages),
         "churn_risk_top100": _on_fit(*churn_fit, churn.churn_risk_top),
         "churn_explain": _on_fit(*churn_fit, explain.churn_explain),
     }

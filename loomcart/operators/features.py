@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomcart.functions.scalar import ratio
+from loomcart.operators.lookup import lookup
 from loomcart.operators.order_values import completed, order_values
 from loomcart.sources.star import Star
 
@@ -20,33 +21,27 @@ def eligible_customers(customers: DataFrame, tenure_days: int, as_of: datetime.d
     return customers.where(F.col("signup_date") <= F.date_sub(latest, tenure_days))
 
 
-def customer_days(star: Star) -> DataFrame:
-    """Completed orders per customer and day, with or without items.
+def _days_of(star: Star, tenure_days: int, last_day: int) -> DataFrame:
+    """Completed orders of eligible customers by day since signup, with or without items.
 
-    This grain bounds what one customer can bring into a join to the days of
-    the calendar, whatever its number of orders.
+    Orders meet their customers and lose the other days before any line is summed.
     """
-    return (
-        order_values(completed(star.orders), star.lines, keep_empty=True)
-        .groupBy("customer_id", "order_date")
-        .agg(
-            F.count("order_id").alias("orders"),
-            F.count("order_value").alias("valued"),
-            F.sum("order_value").alias("spend"),
-            F.count_if(F.col("channel") == "Web").alias("web"),
-        )
-    )
-
-
-def _days_of(star: Star, tenure_days: int, last_day: int) -> DataFrame:
-    """Active days of eligible customers, numbered from signup; days before signup fall out."""
     eligible = eligible_customers(star.customers, tenure_days).select("customer_id", "signup_date", *TRAITS)
-    return (
-        customer_days(star)
-        .join(eligible, "customer_id")
+    orders = completed(star.orders).select("order_id", "customer_id", "order_date", "channel")
+    placed = (
+        lookup(orders, eligible, "customer_id", spread="order_id", how="inner")
         .withColumn("day_no", F.datediff("order_date", "signup_date"))
         .where(F.col("day_no").between(0, last_day))
     )
+    return order_values(placed, star.lines, keep_empty=True, few=True).select(
+        "customer_id",
+        *TRAITS,
+        "day_no",
+        F.lit(1).alias("orders"),
+        F.col("order_value").isNotNull().cast("int").alias("valued"),
+        F.col("order_value").alias("spend"),
+        F.coalesce(F.col("channel") == "Web", F.lit(False)).cast("int").alias("web"),
+    )
 
 
 def _within(first: int, last: int, column: str) -> Column:

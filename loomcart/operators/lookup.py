@@ -7,25 +7,21 @@ from pyspark.sql import functions as F
 
 from loomcart.session import broadcast_limit, plan_bytes
 
-HOT_SHARE = 0.005  # share of the rows from which a key counts as hot
-DETECTION_ROWS = 1_000_000
-SALTS = 64
+#: Rows sampled for each shuffle partition when looking for hot keys. The sample decides how a join is spread, never
+#: which rows it returns, so this bound drops nothing.
+SEEN_PER_PARTITION = 200
 
 
-def hot_keys(df: DataFrame, key: str) -> list:
-    """Keys that hold about ``HOT_SHARE`` of the rows or more.
-
-    Read from a sample, which is enough: which keys are salted decides how evenly
-    the join is spread, never which rows it returns. At half the share as the
-    limit, the answer has at most 400 keys.
-    """
+def hot_keys(df: DataFrame, key: str) -> list[tuple]:
+    """(key, number of parts) for keys that fill half a shuffle partition or more; at most two keys a partition."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = df.select(key)
     rows = keys.count()
-    fraction = min(1.0, DETECTION_ROWS / max(rows, 1))
+    fraction = min(1.0, SEEN_PER_PARTITION * partitions / max(rows, 1))
     seen = keys if fraction == 1.0 else keys.sample(fraction, seed=1)
-    limit = HOT_SHARE / 2 * rows * fraction
-    found = seen.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
-    return [r[key] for r in found.collect()]
+    half = rows * fraction / partitions / 2
+    found = seen.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > half)
+    return [(r[key], int(r["n"] / half) + 1) for r in found.collect()]
 
 
 def lookup(
@@ -39,24 +35,27 @@ def lookup(
 ) -> DataFrame:
     """Bring the columns of ``dim`` (unique by ``key``) onto every row of ``fact``.
 
-    A dimension within Spark's broadcast threshold needs nothing special: the
-    planner broadcasts it. A larger one is joined by shuffle, and there the rows
-    of hot keys are spread over ``SALTS`` sub-keys, chosen by the hash of the
-    fact column ``spread``, while only the hot dimension rows are repeated.
-    Rows with a null key are spread the same way.
+    A dimension within Spark's broadcast threshold needs nothing special: the planner broadcasts it. A larger one is
+    joined by shuffle, and there the rows of a hot key are spread over as many parts as the key fills half partitions,
+    by the hash of the fact column ``spread`` (or their place, where it is null), while only the hot dimension rows are
+    repeated. Rows with a null key are spread over all partitions.
 
-    ``keys_from`` is a cheaper frame with the same keys to look for hot ones,
-    for a ``fact`` that is itself the outcome of a join.
+    ``keys_from`` is a cheaper frame with the same keys to look for hot ones, for a ``fact`` that is itself the outcome
+    of a join.
     """
     if how == "inner" and dim.columns == [key]:
         how = "left_semi"  # nothing to add, only to filter
-    limit = broadcast_limit(fact.sparkSession) if dim_bytes_limit is None else dim_bytes_limit
+    spark = fact.sparkSession
+    limit = broadcast_limit(spark) if dim_bytes_limit is None else dim_bytes_limit
     if plan_bytes(dim) <= limit:
         return fact.join(dim, key, how)
 
-    hot = F.col(key).isin(hot_keys(fact if keys_from is None else keys_from, key))
-    salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
-    copies = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salted_fact = fact.withColumn("_salt", F.when(hot | F.col(key).isNull(), salt).otherwise(F.lit(0)))
-    salted_dim = dim.withColumn("_salt", F.explode(copies))
+    found = hot_keys(fact if keys_from is None else keys_from, key)
+    kind = fact.schema[key].dataType.simpleString()
+    parts = F.broadcast(spark.createDataFrame(found, f"`{key}` {kind}, _parts int"))  # two rows a partition at most
+    place = F.when(F.col(spread).isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64(spread))
+    width = F.when(F.col(key).isNull(), int(spark.conf.get("spark.sql.shuffle.partitions"))).otherwise(F.coalesce("_parts", F.lit(1)))
+    salted_fact = fact.join(parts, key, "left").withColumn("_salt", F.pmod(place, width).cast("int")).drop("_parts")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+    salted_dim = dim.join(parts, key, "left").withColumn("_salt", copies).drop("_parts")
     return salted_fact.join(salted_dim, [key, "_salt"], how).drop("_salt")

@@ -17,12 +17,10 @@ def _rows_per_key(df: DataFrame, key: str) -> DataFrame:
 
 def primary_key_report(star: Star) -> DataFrame:
     """Per table: rows, distinct non-null keys, rows beyond the first of a key, null keys."""
-    tables = {**star.tables(), "fact_order_items": star.lines}  # no key needs the list price
-
     def report(table: str, key: str) -> DataFrame:
         present = F.col("key").isNotNull()
         return (
-            _rows_per_key(tables[table], key)
+            _rows_per_key(star.bare(table), key)
             .agg(
                 F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
                 F.count_if(present).alias("distinct_keys"),
@@ -40,11 +38,9 @@ def foreign_key_report(star: Star) -> DataFrame:
 
     The fact side is counted per key before the anti-join, so a hot key is one row.
     """
-    tables = {**star.tables(), "fact_order_items": star.lines}
-
     def report(fact: str, column: str, dim: str, dim_key: str) -> DataFrame:
-        keys = _rows_per_key(tables[fact].where(F.col(column).isNotNull()), column)
-        known = tables[dim].select(F.col(dim_key).alias("key"), F.lit(True).alias("known"))
+        keys = _rows_per_key(star.bare(fact).where(F.col(column).isNotNull()), column)
+        known = star.bare(dim).select(F.col(dim_key).alias("key"), F.lit(True).alias("known"))
         if PRIMARY_KEYS[dim] != dim_key:
             known = known.distinct()
         lost = F.col("known").isNull()

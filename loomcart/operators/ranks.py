@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from loomcart.session import materialise
-
-# Up to this many narrow rows a single-task window sort is the cheaper plan.
-SINGLE_TASK_ROWS = 1_000_000
+from loomcart.session import discard, materialise
 
 
 def rows_at_ranks(df: DataFrame, order: list[str], ranks: list[int]) -> dict[int, Row]:
@@ -35,6 +32,7 @@ def rows_at_ranks(df: DataFrame, order: list[str], ranks: list[int]) -> dict[int
     if not wanted:
         return {}
     picked = ordered.where(F.col("_at").isin(list(wanted))).collect()
+    discard(ordered)
     return {wanted[row["_at"]]: row for row in picked}
 
 
@@ -60,25 +58,8 @@ def ntile_column(df: DataFrame, buckets: int, value: str, key: str, total: int)
     return bucket
 
 
-def with_ntiles(
-    df: DataFrame,
-    buckets: int,
-    targets: dict[str, str],
-    key: str,
-    at_most_rows: int,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
-    """Add one NTILE column per ``targets`` entry (new column -> ranked column).
-
-    Ties are broken by ``key``. ``at_most_rows`` is a proven upper bound on the
-    rows of ``df``: below ``single_task_rows`` the built-in window is used, above
-    it the distributed form.
-    """
-    if at_most_rows <= single_task_rows:
-        tiles = {
-            name: F.ntile(buckets).over(Window.orderBy(value, key)) for name, value in targets.items()
-        }
-        return df.withColumns(tiles)
+def with_ntiles(df: DataFrame, buckets: int, targets: dict[str, str], key: str) -> DataFrame:
+    """Add one NTILE column per ``targets`` entry (new column -> ranked column); ties are broken by ``key``."""
     base = materialise(df, "ntile")
     total = base.count()
     return base.withColumns(

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomcart.functions.scalar import share_between
-from loomcart.operators.ranks import SINGLE_TASK_ROWS, after, rows_at_ranks
+from loomcart.operators.ranks import after, rows_at_ranks
 from loomcart.session import materialise
 
 SEED = 42
 TEST_PERCENT = 20
+#: Labelled rows that a boosted model is fitted on at most, about; those with the smallest key hashes.
+FIT_ROWS = 200_000
+FIT_ROWS_PER_TASK = 25_000
 
 
 def random_split(df: DataFrame, key: str = "customer_id", percent: int = TEST_PERCENT, seed: int = SEED) -> DataFrame:
@@ -23,20 +28,12 @@ def random_split(df: DataFrame, key: str = "customer_id", percent: int = TEST_PE
 def stratified_split(
     df: DataFrame,
     label: str,
-    at_most_rows: int,
     key: str = "customer_id",
     percent: int = TEST_PERCENT,
     seed: int = SEED,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Add ``is_test``: exactly ``percent`` of every label (halves up), lowest key hashes first."""
     hashed = df.withColumn("_hash", share_between(F.col(key), seed))
-    if at_most_rows <= single_task_rows:
-        of_label = Window.partitionBy(label)
-        place = F.row_number().over(of_label.orderBy("_hash", key))
-        quota = F.floor((F.count(F.lit(1)).over(of_label) * percent + 50) / 100)
-        return hashed.withColumn("is_test", place <= quota).drop("_hash")
-
     base = materialise(hashed, "split")
     counts = {r[label]: r["n"] for r in base.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     order = [label, "_hash", key]
@@ -51,3 +48,19 @@ def stratified_split(
     for value, rank in lasts.items():
         is_test = is_test | ((F.col(label) == F.lit(value)) & ~after(edges[rank], order))
     return base.withColumn("is_test", is_test).drop("_hash")
+
+
+@contextmanager
+def fit_rows(train: DataFrame, key: str, limit: int = FIT_ROWS, seed: int = SEED) -> Iterator[DataFrame]:
+    """At most about ``limit`` rows of ``train``, cached in few partitions while the block runs.
+
+    Boosting runs several jobs for each of its rounds, and on few rows their cost is that of starting tasks.
+    """
+    total = train.count()
+    share = share_between(F.col(key), seed + 1)
+    rows = train.where(share < math.ceil(2**32 * min(1.0, limit / max(total, 1))))
+    kept = rows.repartition(max(1, math.ceil(min(total, limit) / FIT_ROWS_PER_TASK))).drop(key).persist()
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

@@ -34,7 +34,8 @@ def line_totals(
 ) -> DataFrame:
     """List price x quantity x (1 - order discount), half-even to cents.
 
-    ``spend_factor`` (customer_id, factor) scales a customer's prices; without it the factor is 1.
+    ``spend_factor`` (customer_id, factor) scales a customer's prices; without it the factor is 1. Every line stays;
+    one of an unknown product or order has no total.
     """
     if spend_factor is None:
         rates = orders.select("order_id", "discount_pct", F.lit(1).cast("decimal(9,4)").alias("factor"))
@@ -46,8 +47,8 @@ def line_totals(
             spread="order_id",
         ).select("order_id", "discount_pct", F.coalesce("factor", F.lit(1)).alias("factor"))
     bare = lines.select("order_item_id", "order_id", "product_id", "quantity")
-    priced = lookup(bare, products.select("product_id", "unit_price"), "product_id", spread="order_id", how="inner")
-    full = lookup(priced, rates, "order_id", spread="product_id", how="inner", keys_from=bare)
+    priced = lookup(bare, products.select("product_id", "unit_price"), "product_id", spread="order_id")
+    full = lookup(priced, rates, "order_id", spread="product_id", keys_from=bare)
     amount = (
         F.col("unit_price") * F.col("quantity") * F.col("factor").cast("decimal(9,4)") * (1 - F.col("discount_pct"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loomcart.catalog import SLICE
+from loomcart.catalog import SIGNUP_SLICE, SLICE
 from loomcart.functions.distributions import Z_POWER_80_PERCENT, Z_TWO_SIDED_5_PERCENT
 
 # --- the star schema ---
@@ -56,24 +56,35 @@ _STAR = ",\n".join([_CUSTOMERS, _PRODUCTS, _ORDERS, _ITEMS, _DATES])
 
 # --- shared steps ---
 
-_VALUES = """order_revenue AS (
+_VALUES = """completed_values AS (
   SELECT o.order_id, o.customer_id, o.order_date, o.ab_test_group, o.in_ab_test, sum(i.line_total) AS order_value
   FROM fact_orders o JOIN fact_order_items i ON i.order_id = o.order_id
   WHERE o.order_status = 'Completed'
   GROUP BY ALL)"""
 
+
+
+def _fifth(place: str) -> str:
+    """Bucket of a place: the first ``extra`` buckets have ``size + 1`` rows, the others ``size``."""
+    wide = "(size + 1)"
+    return f"""CASE WHEN {place} <= extra * {wide} THEN ({place} - 1) // {wide} + 1
+         ELSE extra + ({place} - 1 - extra * {wide}) // greatest(size, 1) + 1 END"""
+
+
 _RFM = f"""{_VALUES},
 rfm_raw AS (
   SELECT customer_id, max(order_date) AS last_order_date,
-         CAST(datediff('day', max(order_date), (SELECT max(order_date) FROM order_revenue)) AS INT) AS recency_days,
+         CAST(datediff('day', max(order_date), (SELECT max(order_date) FROM completed_values)) AS INT) AS recency_days,
          count(DISTINCT order_id) AS frequency, round(sum(order_value), 2) AS monetary
-  FROM order_revenue GROUP BY customer_id),
+  FROM completed_values GROUP BY customer_id),
+places AS (
+  SELECT *, row_number() OVER (ORDER BY recency_days, customer_id) AS rp, row_number() OVER (ORDER BY frequency, customer_id) AS fp,
+         row_number() OVER (ORDER BY monetary, customer_id) AS mp, n // 5 AS size, n % 5 AS extra
+  FROM rfm_raw, (SELECT count(*) AS n FROM rfm_raw)),
 rfm_scores AS (
-  SELECT customer_id, recency_days, frequency, monetary,
-         CAST(6 - ntile(5) OVER (ORDER BY recency_days, customer_id) AS INT) AS r_score,
-         CAST(ntile(5) OVER (ORDER BY frequency, customer_id) AS INT) AS f_score,
-         CAST(ntile(5) OVER (ORDER BY monetary, customer_id) AS INT) AS m_score
-  FROM rfm_raw),
+  SELECT customer_id, recency_days, frequency, monetary, CAST(6 - {_fifth("rp")} AS INT) AS r_score,
+         CAST({_fifth("fp")} AS INT) AS f_score, CAST({_fifth("mp")} AS INT) AS m_score
+  FROM places),
 rfm_segments AS (
   SELECT *, CAST(r_score + f_score + m_score AS INT) AS rfm_total,
          CASE WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN 'Champions'
@@ -97,7 +108,7 @@ activity AS (
 _GROWTH = f"""{_VALUES},
 monthly AS (
   SELECT strftime(order_date, '%Y-%m') AS month, CAST(round(sum(order_value), 2) AS DOUBLE) AS revenue
-  FROM order_revenue GROUP BY 1),
+  FROM completed_values GROUP BY 1),
 lagged AS (
   SELECT month, revenue, lag(revenue, 1) OVER (ORDER BY month) AS prev_month_revenue,
          lag(revenue, 12) OVER (ORDER BY month) AS revenue_12mo_ago
@@ -254,9 +265,33 @@ _CENTROIDS = """centroids AS (
   SELECT rfm_segment AS id, round(avg(recency_scaled), 6) AS r, round(avg(frequency_scaled), 6) AS f,
          round(avg(monetary_scaled), 6) AS m FROM scaled GROUP BY 1)"""
 
+_LABELS = """profile AS (
+  SELECT CAST(r_score - 1 AS INT) AS cluster, CAST(round_even(CAST(avg_r AS DECIMAL(30,8)), 1) AS DOUBLE) AS recency_days,
+         CAST(round_even(CAST(avg_f AS DECIMAL(30,8)), 1) AS DOUBLE) AS frequency,
+         CAST(round_even(CAST(avg_m AS DECIMAL(30,8)), 1) AS DOUBLE) AS monetary, customers
+  FROM (SELECT r_score, sum(recency_days) / count(*)::DOUBLE AS avg_r, sum(frequency) / count(*)::DOUBLE AS avg_f,
+               CAST(sum(monetary) AS DOUBLE) / count(*) AS avg_m, count(*) AS customers FROM rfm_segments GROUP BY 1)),
+labels AS (
+  SELECT cluster, ['VIP / Champions', 'Loyal Regulars', 'Promising', 'At Risk', 'Dormant / Lost'][
+           row_number() OVER (ORDER BY monetary DESC, cluster)] AS segment_label FROM profile),
+labelled AS (SELECT s.*, l.segment_label FROM rfm_segments s JOIN labels l ON l.cluster = s.r_score - 1)"""
+
+_KNOWN = """known AS (SELECT c.*, s.is_test, 1 / (1 + orders_0_180 / 2.0::DOUBLE) AS p
+  FROM churn c JOIN churn_split s USING (customer_id)),
+tested AS (SELECT churned, p, CAST(p > 0.5 AS INT) AS guess FROM known WHERE is_test),
+classes AS (SELECT k AS churned, count(*) FILTER (churned = k) AS support, count(*) FILTER (guess = k) AS called,
+         count(*) FILTER (guess = k AND churned = k) AS hit FROM tested, (VALUES (0), (1)) v(k) GROUP BY k),
+scores AS (SELECT churned, support, coalesce(hit / nullif(called, 0)::DOUBLE, 0) AS precision,
+         coalesce(hit / nullif(support, 0)::DOUBLE, 0) AS recall FROM classes),
+report AS (SELECT churned, round(precision, 6) AS precision, round(recall, 6) AS recall,
+         round(coalesce(2 * precision * recall / nullif(precision + recall, 0), 0), 6) AS f1, support FROM scores)"""
+
 _RFM_COLUMNS = "customer_id, recency_days, frequency, CAST(monetary AS DOUBLE) AS monetary"
 
 
+_SIGNED_UP = f"signup_date BETWEEN DATE '{SIGNUP_SLICE['signup_from']}' AND DATE '{SIGNUP_SLICE['signup_to']}'"
+
+
 def _in(values: list[str]) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
@@ -305,7 +340,7 @@ def _query(body: str, *steps: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    welch = "SELECT round(cm, 4) AS control_mean, round(tm, 4) AS treatment_mean, round(t, 6) AS t_stat, round(df, 4) AS degrees_of_freedom FROM ({})"
+    welch = "SELECT round(cm, 4) AS control_mean, round(tm, 4) AS treatment_mean, round(t, 6) AS t_stat, round(df, 4) AS degrees_of_freedom, (SELECT round(p, 6) FROM judged WHERE metric = '{}') AS p_value FROM ({})"
     z_sum = Z_TWO_SIDED_5_PERCENT + Z_POWER_80_PERCENT
     sliced = f"""sliced_customers AS (
   SELECT * FROM dim_customers WHERE country IN ({_in(SLICE["countries"])}) AND acquisition_channel IN ({_in(SLICE["channels"])})),
@@ -342,10 +377,10 @@ sliced_items AS (SELECT i.* FROM fact_order_items i SEMI JOIN sliced_orders USIN
             """SELECT i.order_item_id, i.order_id, i.product_id, i.quantity, CAST(p.unit_price AS DOUBLE) AS unit_price,
          CAST(o.discount_pct AS DOUBLE) AS discount_pct,
          CAST(round_even(p.unit_price * i.quantity * (1 - o.discount_pct), 2) AS DOUBLE) AS line_total
-  FROM fact_order_items i JOIN dim_products p USING (product_id) JOIN fact_orders o USING (order_id)"""
+  FROM fact_order_items i LEFT JOIN dim_products p USING (product_id) LEFT JOIN fact_orders o USING (order_id)"""
         ),
         "order_values": _query(
-            "SELECT order_id, customer_id, order_date, CAST(order_value AS DOUBLE) AS order_value FROM order_revenue",
+            "SELECT order_id, customer_id, order_date, CAST(order_value AS DOUBLE) AS order_value FROM completed_values",
             _VALUES,
         ),
         "rfm_raw": _query(f"SELECT {_RFM_COLUMNS}, last_order_date FROM rfm_raw", _RFM),
@@ -412,18 +447,18 @@ sliced_items AS (SELECT i.* FROM fact_order_items i SEMI JOIN sliced_orders USIN
          CAST(coalesce(sum(quantity * unit_price) FILTER (WHERE order_status = 'Completed'), 0) AS DOUBLE) AS completed_revenue,
          round(CAST(coalesce(sum(quantity * unit_price) FILTER (WHERE order_status = 'Completed'), 0) AS DOUBLE)
                / CAST(sum(quantity * unit_price) AS DOUBLE), 6) AS completed_share
-  FROM fact_orders JOIN fact_order_items USING (order_id) GROUP BY 1"""
+  FROM fact_order_items LEFT JOIN fact_orders USING (order_id) GROUP BY 1"""
         ),
         "revenue_by_category": _query(
             """SELECT p.category, CAST(sum(i.quantity) AS BIGINT) AS units,
          CAST(sum(i.quantity * i.unit_price) AS DOUBLE) AS gross_revenue, CAST(sum(i.line_total) AS DOUBLE) AS net_revenue
-  FROM fact_order_items i JOIN dim_products p USING (product_id) GROUP BY 1"""
+  FROM fact_order_items i LEFT JOIN dim_products p USING (product_id) GROUP BY 1"""
         ),
         "star_revenue": _query(
             """SELECT c.country, p.category, d.year, d.is_weekend, CAST(sum(i.line_total) AS DOUBLE) AS net_revenue,
          CAST(sum(i.quantity) AS BIGINT) AS units
-  FROM fact_order_items i JOIN fact_orders o USING (order_id) JOIN dim_customers c USING (customer_id)
-  JOIN dim_products p USING (product_id) JOIN dim_date d ON d.date = o.order_date
+  FROM fact_order_items i JOIN fact_orders o USING (order_id) LEFT JOIN dim_customers c USING (customer_id)
+  LEFT JOIN dim_products p USING (product_id) LEFT JOIN dim_date d ON d.date = o.order_date
   WHERE o.order_status = 'Completed' GROUP BY 1, 2, 3, 4"""
         ),
         "web_share": _query(
@@ -449,6 +484,35 @@ sliced_items AS (SELECT i.* FROM fact_order_items i SEMI JOIN sliced_orders USIN
             _RFM,
         ),
         "segment_drill": _query(f"SELECT {_RFM_COLUMNS} FROM rfm_segments WHERE rfm_segment = 'At Risk'", _RFM),
+        "labelled_customers": _query("SELECT customer_id, r_score - 1 AS cluster, segment_label FROM labelled", _RFM, _LABELS),
+        "label_profile": _query(
+            """SELECT cluster, segment_label, recency_days, frequency, monetary, customers FROM profile JOIN labels USING (cluster)""",
+            _RFM,
+            _LABELS,
+        ),
+        "label_customers": _query("SELECT segment_label, count(*) AS customers FROM labelled GROUP BY 1", _RFM, _LABELS),
+        "label_revenue": _query(
+            "SELECT segment_label, CAST(sum(monetary) AS DOUBLE) AS revenue FROM labelled GROUP BY 1", _RFM, _LABELS
+        ),
+        "label_share": _query(
+            """SELECT segment_label, round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 6) AS customer_share,
+         round(CAST(sum(monetary) AS DOUBLE) / CAST(sum(sum(monetary)) OVER () AS DOUBLE), 6) AS revenue_share
+  FROM labelled GROUP BY 1""",
+            _RFM,
+            _LABELS,
+        ),
+        "label_breakdown": _query(
+            """SELECT segment_label, count(*) AS customers, round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 3) AS pct_of_base,
+         CAST(sum(monetary) AS DOUBLE) AS total_revenue, round(CAST(sum(monetary) AS DOUBLE) / count(*), 0) AS avg_monetary,
+         round(CAST(sum(recency_days) AS DOUBLE) / count(*), 1) AS avg_recency_days
+  FROM labelled GROUP BY 1""",
+            _RFM,
+            _LABELS,
+        ),
+        "sql_views": _query(
+            """SELECT c.country, o.channel, count(*) AS orders, count(DISTINCT o.customer_id) AS customers
+  FROM fact_orders o JOIN dim_customers c USING (customer_id) WHERE o.order_status = 'Completed' GROUP BY 1, 2"""
+        ),
         "exec_kpis": _query(
             """SELECT r.n AS total_customers, CAST(r.m AS DOUBLE) AS total_revenue,
          round(CAST(r.m AS DOUBLE) / r.f, 2) AS avg_order_value_proxy, g.revenue AS latest_month_revenue,
@@ -462,18 +526,19 @@ sliced_items AS (SELECT i.* FROM fact_order_items i SEMI JOIN sliced_orders USIN
             """SELECT ab_test_group, count(DISTINCT customer_id) AS customers_who_ordered, count(order_id) AS total_orders,
          round(CAST(sum(order_value) AS DOUBLE) / count(order_id), 2) AS avg_order_value,
          CAST(round(sum(order_value), 2) AS DOUBLE) AS total_revenue
-  FROM order_revenue WHERE in_ab_test GROUP BY 1""",
+  FROM completed_values WHERE in_ab_test GROUP BY 1""",
             _VALUES,
         ),
         "ab_conversion": _query(
             "SELECT ab_test_group, converted, n AS customers, round(rate, 6) AS conversion_rate FROM by_customer", _AB
         ),
         "ab_ztest": _query(
-            f"SELECT round(cr, 6) AS control_rate, round(tr, 6) AS treatment_rate, round(z, 6) AS z_stat FROM ({_ZTEST})",
-            _AB,
+            f"""SELECT round(cr, 6) AS control_rate, round(tr, 6) AS treatment_rate, round(z, 6) AS z_stat,
+         (SELECT round(p, 6) FROM judged WHERE metric = 'Conversion Rate') AS p_value FROM ({_ZTEST})""",
+            _SUMMARY,
         ),
-        "ab_revenue_per_customer": _query(welch.format(_welch("by_customer")), _AB),
-        "ab_aov": _query(welch.format(_welch("by_order")), _AB),
+        "ab_revenue_per_customer": _query(welch.format("Revenue per Customer", _welch("by_customer")), _SUMMARY),
+        "ab_aov": _query(welch.format("Average Order Value", _welch("by_order")), _SUMMARY),
         "ab_mde": _query(
             f"""SELECT n AS n_per_group, round(rate, 6) AS baseline_rate,
          round({z_sum!r}::DOUBLE * sqrt(2 * rate * (1 - rate) / n), 6) AS minimum_detectable_effect
@@ -488,6 +553,7 @@ sliced_items AS (SELECT i.* FROM fact_order_items i SEMI JOIN sliced_orders USIN
         "promo_scenario": _query(
             "SELECT * FROM scenario", _scenario("unnest([0.00, 0.05, 0.10, 0.15, 0.20, 0.25, 0.30]::DOUBLE[])")
         ),
+        "promo_grid": _query("SELECT * FROM scenario", _scenario("unnest(range(31)) / 100.0::DOUBLE")),
         "promo_best_discount": _query(
             "SELECT discount, projected_margin, projected_revenue FROM scenario ORDER BY projected_margin DESC, discount LIMIT 1",
             _scenario("unnest(range(31)) / 100.0::DOUBLE"),
@@ -510,6 +576,66 @@ sliced_items AS (SELECT i.* FROM fact_order_items i SEMI JOIN sliced_orders USIN
         FROM churn_split WHERE NOT is_test)""",
             _CHURN_SPLIT,
         ),
+        "churn_one_hot": _query(
+            """SELECT customer_id, CAST(g.column AS INT) AS column, CAST(value AS DOUBLE) AS value FROM (
+    SELECT customer_id, 0 AS column, CAST(age AS DOUBLE) AS value FROM churn UNION ALL SELECT customer_id, 1, orders_0_180 FROM churn
+    UNION ALL SELECT customer_id, 2, spend_0_180 FROM churn UNION ALL SELECT customer_id, 3, avg_order_value FROM churn
+    UNION ALL SELECT customer_id, 4, channel_web_share FROM churn
+    UNION ALL SELECT customer_id, 3 + n, CAST(acquisition_channel = level AS INT) FROM churn, levels WHERE kind = 'channel' AND n > 1
+    UNION ALL SELECT customer_id, 2 + (SELECT count(*) FROM levels WHERE kind = 'channel') + n, CAST(country = level AS INT)
+      FROM churn, levels WHERE kind = 'country' AND n > 1) g""",
+            _CHURN_SPLIT,
+            """trained AS (SELECT c.* FROM churn c JOIN churn_split s USING (customer_id) WHERE NOT s.is_test),
+levels AS (SELECT 'channel' AS kind, acquisition_channel AS level, row_number() OVER (ORDER BY acquisition_channel) AS n
+           FROM (SELECT DISTINCT acquisition_channel FROM trained)
+           UNION ALL SELECT 'country', country, row_number() OVER (ORDER BY country) FROM (SELECT DISTINCT country FROM trained))""",
+        ),
+        "known_clv_metrics": _query(
+            f"""SELECT 'clv' AS model, unnest(['train_rows', 'test_rows', 'mae', 'r2']) AS metric, unnest([train_rows, test_rows, round(mae, 9), round(r2, 9)]) AS value
+  FROM (SELECT CAST(count(*) FILTER (NOT is_test) AS DOUBLE) AS train_rows, CAST(count(*) FILTER (is_test) AS DOUBLE) AS test_rows,
+               avg(abs(spend_next90 - spend_first90)) FILTER (is_test) AS mae,
+               1 - sum(power(spend_next90 - spend_first90, 2)) FILTER (is_test)
+                   / (var_pop(spend_next90) FILTER (is_test) * count(*) FILTER (is_test)) AS r2
+        FROM (SELECT *, {_HASH} % 100 < 20 AS is_test FROM clv))""",
+            _CLV,
+        ),
+        "known_churn_metrics": _query(
+            """SELECT 'churn' AS model, unnest(['active_customers', 'base_churn_rate', 'auc_roc']) AS metric, unnest([n, round(rate, 9), round(auc, 9)]) AS value
+  FROM (SELECT CAST(count(*) AS DOUBLE) AS n, avg(churned) AS rate FROM known),
+       (SELECT avg(CASE WHEN a.p > b.p THEN 1.0::DOUBLE WHEN a.p = b.p THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END) AS auc
+        FROM tested a, tested b WHERE a.churned = 1 AND b.churned = 0)""",
+            _CHURN_SPLIT,
+            _KNOWN,
+        ),
+        "known_churn_report": _query("SELECT * FROM report", _CHURN_SPLIT, _KNOWN),
+        "known_churn_averages": _query(
+            """SELECT 'accuracy' AS average, NULL::DOUBLE AS precision, NULL::DOUBLE AS recall,
+         (SELECT round(avg(CASE WHEN churned = guess THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) FROM tested) AS f1,
+         (SELECT count(*) FROM tested) AS support
+  UNION ALL SELECT 'macro', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM report
+  UNION ALL SELECT 'weighted', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
+         round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM report""",
+            _CHURN_SPLIT,
+            _KNOWN,
+        ),
+        "known_churn_top100": _query(
+            """SELECT customer_id, CAST(round_even(CAST(p AS DECIMAL(12,10)), 3) AS DOUBLE) AS churn_probability, orders_0_180, spend_0_180
+  FROM known ORDER BY churn_probability DESC, customer_id LIMIT 100""",
+            _CHURN_SPLIT,
+            _KNOWN,
+        ),
+        "signup_cohorts": _query(
+            """SELECT strftime(a.cohort, '%Y-%m') AS cohort_month, a.month_index,
+         count(DISTINCT a.customer_id) AS active_customers, s.n AS cohort_customers,
+         round(100.0::DOUBLE * count(DISTINCT a.customer_id) / s.n, 1) AS retention_pct
+  FROM activity a JOIN (SELECT cohort, count(DISTINCT customer_id) AS n FROM cohorts GROUP BY 1) s ON s.cohort = a.cohort
+  GROUP BY a.cohort, a.month_index, s.n ORDER BY 1, 2""",
+            _COHORT.replace("FROM dim_customers", f"FROM dim_customers WHERE {_SIGNED_UP}"),
+        ),
+        "signup_segments": _query(
+            "SELECT rfm_segment, count(*) AS customers FROM rfm_segments GROUP BY 1",
+            _RFM.replace("WHERE o.order_status", f"JOIN dim_customers c ON c.customer_id = o.customer_id AND {_SIGNED_UP} WHERE o.order_status"),
+        ),
         "rfm_features_scaled": _query(
             """SELECT customer_id, round(recency_scaled, 6) + 0.0 AS recency_scaled,
          round(frequency_scaled, 6) + 0.0 AS frequency_scaled, round(monetary_scaled, 6) + 0.0 AS monetary_scaled FROM scaled""",

@@ -13,7 +13,6 @@ from loomcart.functions.distributions import (
 )
 from loomcart.functions.scalar import as_money, ratio
 from loomcart.operators.order_values import completed, order_values
-from loomcart.session import ship_package
 from loomcart.sources.star import Star
 
 CONTROL = "control"
@@ -27,7 +26,7 @@ def experiment_orders(star: Star) -> DataFrame:
 def ab_readout(star: Star) -> DataFrame:
     """Counts, mean order value and revenue by the group stored on the order; non-empty orders only."""
     return (
-        order_values(experiment_orders(star), star.lines)
+        order_values(experiment_orders(star), star.lines, few=True)
         .groupBy("ab_test_group")
         .agg(
             F.countDistinct("customer_id").alias("customers_who_ordered"),
@@ -53,7 +52,7 @@ def group_moments(star: Star) -> DataFrame:
     """
     value = F.col("order_value")
     per_customer = (
-        order_values(experiment_orders(star), star.lines, keep_empty=True)
+        order_values(experiment_orders(star), star.lines, keep_empty=True, few=True)
         .groupBy("customer_id")
         .agg(
             F.count("order_id").alias("orders"),
@@ -122,6 +121,7 @@ def ab_ztest(star: Star) -> DataFrame:
         F.round("c_rate", 6).alias("control_rate"),
         F.round("t_rate", 6).alias("treatment_rate"),
         F.round(_z(), 6).alias("z_stat"),
+        F.round(normal_p_value(_z()), 6).alias("p_value"),
     )
 
 
@@ -132,6 +132,7 @@ def _welch_report(star: Star, mean: str, var: str, n: str) -> DataFrame:
         F.round(f"t_{mean}", 4).alias("treatment_mean"),
         F.round(t, 6).alias("t_stat"),
         F.round(df, 4).alias("degrees_of_freedom"),
+        F.round(student_p_value(t, df), 6).alias("p_value"),
     )
 
 
@@ -156,7 +157,6 @@ def ab_mde(star: Star) -> DataFrame:
 
 def ab_summary(star: Star) -> DataFrame:
     """One row per metric with both groups, the p-value and the 5% verdict."""
-    ship_package(star.orders.sparkSession)  # the p-values are Python
     none = F.lit(None).cast("double")
 
     def metric(name: str, column: str, stat: Column, df: Column) -> Column:
@@ -174,7 +174,7 @@ def ab_summary(star: Star) -> DataFrame:
         metric("Average Order Value", "order_mean", *_welch("order_mean", "order_var", "orders")),
     )
     tested = _side_by_side(group_moments(star)).select(F.inline(rows))
-    p = F.when(F.col("df").isNull(), normal_p_value("stat")).otherwise(student_p_value("stat", "df"))
+    p = F.when(F.col("df").isNull(), normal_p_value(F.col("stat"))).otherwise(student_p_value(F.col("stat"), F.col("df")))
     return tested.withColumn("p", p).select(
         "metric",
         F.round("control", 6).alias("control"),

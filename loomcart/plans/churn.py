@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomcart.functions.scalar import ratio
-from loomcart.operators.encode import feature_names, fit_encoder
+from loomcart.operators.encode import fit_encoder
 from loomcart.operators.features import churn_features
-from loomcart.operators.split import stratified_split
+from loomcart.operators.split import fit_rows, stratified_split
 from loomcart.session import materialise
 from loomcart.sources.sinks import metrics_frame
 from loomcart.sources.star import Star
@@ -35,8 +35,7 @@ class ChurnRun:
 
 
 def churn_split(star: Star) -> DataFrame:
-    # The feature table has at most one row per customer.
-    return stratified_split(churn_features(star), "churned", at_most_rows=star.customers.count())
+    return stratified_split(churn_features(star), "churned")
 
 
 def churn_class_weight(split: DataFrame) -> DataFrame:
@@ -54,11 +53,12 @@ def churn_class_weight(split: DataFrame) -> DataFrame:
 def train_churn(star: Star, trees: int = TREES) -> ChurnRun:
     """Fit on the class-weighted train part; ``scored`` holds every active customer."""
     table = materialise(churn_split(star), "churn")
-    encoded = fit_encoder(table, NUMBERS, CATEGORIES).transform(table)
+    encoder = fit_encoder(table.where(~F.col("is_test")), NUMBERS, CATEGORIES)
+    encoded = encoder.transform(table)
     balance = churn_class_weight(table).first()
     weight = balance["stayed"] / balance["churned"] if balance["stayed"] and balance["churned"] else 1.0
     train = encoded.where(~F.col("is_test")).select(
-        "features", "churned", F.when(F.col("churned") == 1, weight).otherwise(1.0).alias("weight")
+        "customer_id", "features", "churned", F.when(F.col("churned") == 1, weight).otherwise(1.0).alias("weight")
     )
     learner = GBTClassifier(
         labelCol="churned",
@@ -68,9 +68,10 @@ def train_churn(star: Star, trees: int = TREES) -> ChurnRun:
         stepSize=RATE,
         seed=SEED,
     )
-    model = learner.fit(train)
+    with fit_rows(train, "customer_id") as rows:
+        model = learner.fit(rows)
     scored = model.transform(encoded).withColumn("p", vector_to_array("probability")[1])
-    return ChurnRun(scored, feature_names(encoded), model)
+    return ChurnRun(scored, encoder.names(), model)
 
 
 def churn_predictions(run: ChurnRun) -> DataFrame:
@@ -100,6 +101,27 @@ def churn_metrics(run: ChurnRun) -> DataFrame:
     )
 
 
+def churn_report_averages(run: ChurnRun, threshold: float = THRESHOLD) -> DataFrame:
+    """Accuracy, and the averages of both classes' precision, recall and F1: plain and weighted by support."""
+    classes = churn_class_report(run, threshold)
+    support = F.sum("support").alias("support")
+    scores = ("precision", "recall", "f1")
+    right = F.round(ratio(F.sum(F.col("recall") * F.col("support")), F.sum("support")), 6)
+    row = classes.agg(
+        support,
+        right.alias("accuracy"),
+        *[F.round(F.avg(c), 6).alias(f"macro_{c}") for c in scores],
+        *[F.round(ratio(F.sum(F.col(c) * F.col("support")), F.sum("support")), 6).alias(f"weighted_{c}") for c in scores],
+    )
+    empty = F.lit(None).cast("double")
+
+    def line(name: str, *values: Column) -> Column:
+        return F.struct(F.lit(name).alias("average"), *[v.alias(c) for v, c in zip(values, scores)], F.col("support").alias("support"))
+
+    averages = [line(k, *[F.col(f"{k}_{c}") for c in scores]) for k in ("macro", "weighted")]
+    return row.select(F.inline(F.array(line("accuracy", empty, empty, F.col("accuracy")), *averages)))
+
+
 def churn_class_report(run: ChurnRun, threshold: float = THRESHOLD) -> DataFrame:
     """Precision, recall, F1 and support of both classes on the test part."""
     guess = (F.col("p") > threshold).cast("int")

@@ -9,9 +9,9 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcart.operators.encode import feature_names, fit_encoder
+from loomcart.operators.encode import fit_encoder
 from loomcart.operators.features import clv_features
-from loomcart.operators.split import random_split
+from loomcart.operators.split import fit_rows, random_split
 from loomcart.session import materialise
 from loomcart.sources.sinks import metrics_frame
 from loomcart.sources.star import Star
@@ -38,12 +38,15 @@ def clv_split(star: Star) -> DataFrame:
 def train_clv(star: Star, trees: int = TREES) -> ClvRun:
     """Fit on the train part; ``scored`` holds every eligible customer with its prediction."""
     table = materialise(clv_split(star), "clv")
-    encoded = fit_encoder(table, NUMBERS, CATEGORIES).transform(table)
+    encoder = fit_encoder(table.where(~F.col("is_test")), NUMBERS, CATEGORIES)
+    encoded = encoder.transform(table)
     learner = GBTRegressor(
         labelCol="spend_next90", maxIter=trees, maxDepth=DEPTH, stepSize=RATE, seed=SEED
     )
-    model = learner.fit(encoded.where(~F.col("is_test")).select("features", "spend_next90"))
-    return ClvRun(model.transform(encoded), feature_names(encoded), model)
+    train = encoded.where(~F.col("is_test")).select("customer_id", "features", "spend_next90")
+    with fit_rows(train, "customer_id") as rows:
+        model = learner.fit(rows)
+    return ClvRun(model.transform(encoded), encoder.names(), model)
 
 
 def clv_predictions(run: ClvRun) -> DataFrame:

@@ -100,11 +100,13 @@ def repeat_purchase_rate(star: Star) -> DataFrame:
 
 
 def filtered_measure(star: Star) -> DataFrame:
-    """Gross revenue per channel, next to the same measure filtered to completed orders."""
+    """Gross revenue per channel, next to the same measure filtered to completed orders; items of unknown orders have a
+    null channel."""
     orders = star.orders.select("order_id", "channel", "order_status")
     value = F.col("gross_value")
     return (
-        orders.join(gross_values(star.order_items), "order_id")
+        gross_values(star.order_items)
+        .join(orders, "order_id", "left")
         .groupBy("channel")
         .agg(
             F.sum(value).alias("total"),
@@ -120,7 +122,7 @@ def filtered_measure(star: Star) -> DataFrame:
 
 
 def revenue_by_category(star: Star) -> DataFrame:
-    """Gross and net revenue per product category.
+    """Gross and net revenue per product category; items of unknown products have a null category.
 
     Items are summed per product first: a best-seller joins as a single row.
     """
@@ -130,7 +132,7 @@ def revenue_by_category(star: Star) -> DataFrame:
         F.sum("line_total").alias("net"),
     )
     return (
-        per_product.join(star.products.select("product_id", "category"), "product_id")
+        per_product.join(star.products.select("product_id", "category"), "product_id", "left")
         .groupBy("category")
         .agg(
             F.sum("units").alias("units"),
@@ -143,10 +145,16 @@ def revenue_by_category(star: Star) -> DataFrame:
 def star_revenue(star: Star) -> DataFrame:
     """Net completed revenue by country, category, year and weekend: all four relationships.
 
-    Each step carries sums to the next key, never raw lines.
+    Unknown customers, products and dates have null attributes. Lines of orders that are not completed leave first. Each step carries sums to the next key, never raw lines.
     """
     per_order = (
-        lookup(star.lines, star.products.select("product_id", "category"), "product_id", spread="order_id", how="inner")
+        lookup(
+            star.lines.join(completed(star.orders).select("order_id"), "order_id", "left_semi"),
+            star.products.select("product_id", "category"),
+            "product_id",
+            spread="order_id",
+            keys_from=star.lines,
+        )
         .groupBy("order_id", "category")
         .agg(F.sum("line_total").alias("net"), F.sum("quantity").alias("units"))
     )
@@ -155,7 +163,6 @@ def star_revenue(star: Star) -> DataFrame:
         star.customers.select("customer_id", "country"),
         "customer_id",
         spread="order_id",
-        how="inner",
     )
     daily = (
         orders.join(per_order, "order_id")
@@ -163,7 +170,7 @@ def star_revenue(star: Star) -> DataFrame:
         .agg(F.sum("net").alias("net"), F.sum("units").alias("units"))
     )
     return (
-        daily.join(star.dates, daily["order_date"] == star.dates["date"])
+        daily.join(star.dates, daily["order_date"] == star.dates["date"], "left")
         .groupBy("country", "category", "year", "is_weekend")
         .agg(as_money(F.sum("net")).alias("net_revenue"), F.sum("units").alias("units"))
     )

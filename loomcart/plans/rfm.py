@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomcart.operators.order_values import completed, order_values
-from loomcart.operators.ranks import SINGLE_TASK_ROWS, with_ntiles
+from loomcart.operators.ranks import with_ntiles
 from loomcart.sources.star import Star
 
 # Segment names are fixed values.
@@ -23,7 +23,8 @@ OTHER = "Needs Attention"
 def rfm_raw(star: Star, as_of: datetime.date | None = None) -> DataFrame:
     """One row per customer with a completed, non-empty order.
 
-    Recency counts from the latest such order of anyone, unless ``as_of`` is given.
+    Recency counts from the latest such order of anyone, unless ``as_of`` is given. Order ids must be unique, which
+    ``dq_primary_key`` reports; a repeated id would count as often as it occurs.
     """
     values = order_values(completed(star.orders), star.lines)
     per_customer = values.groupBy("customer_id").agg(
@@ -63,16 +64,13 @@ def segment_of(r: Column, f: Column, m: Column) -> Column:
     )
 
 
-def rfm_scores(star: Star, single_task_rows: int = SINGLE_TASK_ROWS, as_of: datetime.date | None = None) -> DataFrame:
+def rfm_scores(star: Star, as_of: datetime.date | None = None) -> DataFrame:
     """Quintile scores 1-5; a smaller recency scores higher."""
-    at_most = star.orders.count()  # a customer in the base has at least one order
     scored = with_ntiles(
         rfm_raw(star, as_of).drop("last_order_date"),
         5,
         {"_r": "recency_days", "f_score": "frequency", "m_score": "monetary"},
         key="customer_id",
-        at_most_rows=at_most,
-        single_task_rows=single_task_rows,
     )
     return scored.select(
         "customer_id",
@@ -85,10 +83,10 @@ def rfm_scores(star: Star, single_task_rows: int = SINGLE_TASK_ROWS, as_of: date
     )
 
 
-def rfm_segments(star: Star, single_task_rows: int = SINGLE_TASK_ROWS, as_of: datetime.date | None = None) -> DataFrame:
+def rfm_segments(star: Star, as_of: datetime.date | None = None) -> DataFrame:
     """Scores, their sum and the segment name. Sorting is left to the report's reader."""
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
-    return rfm_scores(star, single_task_rows, as_of).withColumns(
+    return rfm_scores(star, as_of).withColumns(
         {"rfm_total": r + f + m, "rfm_segment": segment_of(r, f, m)}
     )
 

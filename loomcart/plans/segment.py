@@ -9,7 +9,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomcart.plans.rfm import rfm_segments
@@ -22,7 +22,7 @@ K_RANGE = range(2, 9)
 STARTS = 10
 SEED = 42
 PARALLEL_FITS = 8
-MAX_CENTROIDS = 1000
+MAX_ITERATIONS = 300
 SCALED = ["recency_scaled", "frequency_scaled", "monetary_scaled"]
 
 
@@ -59,7 +59,7 @@ def fit_kmeans_range(
     jobs = [(k, seed + i) for k in ks for i in range(starts)]
 
     def fit(job: tuple[int, int]) -> KMeansModel:
-        return KMeans(k=job[0], seed=job[1]).fit(features)
+        return KMeans(k=job[0], seed=job[1], maxIter=MAX_ITERATIONS).fit(features)
 
     with ThreadPool(min(PARALLEL_FITS, len(jobs))) as pool:
         models = pool.map(inheritable_thread_target(features.sparkSession)(fit), jobs)
@@ -153,18 +153,21 @@ def segment_profile(run: Segmentation) -> DataFrame:
 def nearest_centroid(points: DataFrame, centroids: DataFrame, key: str) -> DataFrame:
     """Add ``nearest``: the ``key`` of the closest row of ``centroids``, the smallest key among equals.
 
-    ``centroids`` has one row per cluster or segment, with the same scaled
-    columns; its rows become constants of the expression.
+    ``centroids`` has one row per cluster or segment, with the same scaled columns; they travel as one array.
+    Without centroids the result is null.
     """
-    rows = centroids.select(key, *SCALED).take(MAX_CENTROIDS + 1)
-    if not 0 < len(rows) <= MAX_CENTROIDS:
-        raise ValueError(f"expected 1 to {MAX_CENTROIDS} centroids")
+    named = F.struct(F.col(key).alias("key"), *[F.col(c).alias(c) for c in SCALED])
+    known = centroids.agg(F.collect_list(named)).scalar()
 
-    def choice(row: Row) -> Column:
-        distance = sum((F.pow(F.col(c) - F.lit(row[c]), 2.0) for c in SCALED), F.lit(0.0))
-        return F.struct(distance.alias("distance"), F.lit(row[key]).alias("key"))
+    def distance(c: Column) -> Column:
+        total = sum((F.pow(F.col(name) - c[name], 2.0) for name in SCALED), F.lit(0.0))
+        return F.struct(total.alias("distance"), c["key"].alias("key"))
 
-    return points.withColumn("nearest", F.array_min(F.array(*[choice(r) for r in rows])).getField("key"))
+    return (
+        points.withColumn("_known", known)
+        .withColumn("nearest", F.array_min(F.transform("_known", distance)).getField("key"))
+        .drop("_known")
+    )
 
 
 def segment_centroids(scaled: DataFrame, by: str = "rfm_segment") -> DataFrame:

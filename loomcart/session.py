@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
 import shutil
 import tempfile
 import uuid
@@ -9,9 +12,6 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
-
-
 def build_session(app: str = "loomcart", master: str | None = None, **conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.appName(app)
@@ -37,7 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current is None:
         if not configured:
-            if not sc.master.startswith("local"):
+            if not re.match(r"local(\[|$)", sc.master):  # not local-cluster
                 raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
             configured = tempfile.mkdtemp(prefix="loomcart-")
         sc.setCheckpointDir(configured)
@@ -45,8 +45,29 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or current
 
 
+_scratch: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/loomcart/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    """A new path below this application's own folder, which is deleted when the driver's Python ends."""
+    root = f"{shared_dir(spark).rstrip('/')}/loomcart/{spark.sparkContext.applicationId}"
+    if root not in _scratch:
+        _scratch.add(root)
+        atexit.register(_delete, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), root)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
+def _delete(jvm, hadoop_conf, path: str) -> None:
+    with contextlib.suppress(Exception):  # at the end the JVM may be gone
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(hadoop_conf).delete(target, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a frame that ``materialise`` returned, once nothing reads it any more."""
+    sc = df.sparkSession.sparkContext
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        _delete(sc._jvm, sc._jsc.hadoopConfiguration(), folder)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -62,17 +83,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; joins are over-estimated, never under."""
+    """The optimizer's size estimate. Joins are over-estimated; a scan counts its files as they are compressed."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def broadcast_limit(spark: SparkSession) -> int:
-    setting = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", str(DEFAULT_BROADCAST_BYTES))
-    text = setting.strip().lower()
-    for suffix, factor in (("gb", 2**30), ("g", 2**30), ("mb", 2**20), ("m", 2**20), ("kb", 2**10), ("k", 2**10), ("b", 1)):
-        if text.endswith(suffix):
-            return int(text[: -len(suffix)]) * factor
-    return int(text)
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
 _shipped: set[str] = set()

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomcart.operators.encode import feature_names, fit_encoder
+from loomcart.operators.encode import fit_encoder
 from loomcart.operators.calendar import calendar_covering
 from loomcart.plans import churn, clv, explain, kpi, segment
 from loomcart.plans.outputs import write_outputs
@@ -90,9 +90,26 @@ def test_class_report_adds_up(churn_run):
 
 def test_encoder_drops_the_first_level(spark):
     df = spark.createDataFrame([(1, "b", "x"), (2, "a", "y"), (3, "c", "x")], "n int, k string, m string")
-    encoded = fit_encoder(df, ["n"], ["k", "m"]).transform(df)
-    assert feature_names(encoded) == ["n", "k_is_c", "k_is_b", "m_is_y"]
-    assert encoded.where("k = 'a'").first()["features"].toArray().tolist() == [2.0, 0.0, 0.0, 1.0]
+    encoder = fit_encoder(df, ["n"], ["k", "m"])
+    assert encoder.names() == ["n", "k_is_b", "k_is_c", "m_is_y"]
+    assert encoder.transform(df).where("k = 'a'").first()["features"].toArray().tolist() == [2.0, 0.0, 0.0, 1.0]
+
+
+def test_encoder_takes_nulls(spark):
+    df = spark.createDataFrame([(1, "b"), (None, "a"), (5, None), (3, "zz")], "n int, k string")
+    encoder = fit_encoder(df, ["n"], ["k"])
+    assert encoder.names() == ["n", "k_is_b", "k_is_zz"]
+    rows = encoder.transform(df).collect()
+    assert [r["features"].toArray().tolist() for r in rows] == [[1, 1, 0], [3, 0, 0], [5, 0, 0], [3, 0, 1]]
+
+
+def test_models_train_on_missing_traits(spark, planted):
+    gaps = planted.customers.withColumns(
+        {c: F.when(F.col("customer_id") % 7 != i, F.col(c)) for i, c in enumerate(("country", "acquisition_channel", "age"))}
+    )
+    star = planted.with_tables(customers=lambda: gaps)
+    assert churn.churn_predictions(churn.train_churn(star, trees=2)).count() == 240
+    assert clv.clv_predictions(clv.train_clv(star, trees=2)).count() == 240
 
 
 def test_clv_learns_and_ranks_features(planted):

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from loomcart.operators.lookup import SALTS, lookup
+from loomcart.operators.lookup import hot_keys, lookup
 from loomcart.operators.ranks import rows_at_ranks, with_ntiles
 from loomcart.operators.split import random_split, stratified_split
 
@@ -31,22 +31,20 @@ def test_distributed_ntile_equals_brute_force(spark, n):
     # A third of the rows share one value, and some values are null.
     rows = [(None if rng.random() < 0.05 else 7 if rng.random() < 0.33 else rng.randrange(40), k) for k in range(n)]
     df = spark.createDataFrame(rows, "v int, k bigint").repartition(8)
-    tiled = with_ntiles(df, 5, {"t": "v"}, "k", at_most_rows=n, single_task_rows=-1)
+    tiled = with_ntiles(df, 5, {"t": "v"}, "k")
     assert {r["k"]: r["t"] for r in tiled.collect()} == _brute_ntile(rows, 5)
-    builtin = with_ntiles(df, 5, {"t": "v"}, "k", at_most_rows=n)
-    assert {r["k"]: r["t"] for r in builtin.collect()} == _brute_ntile(rows, 5)
 
 
 def test_distributed_ntile_never_uses_one_task(spark):
     df = spark.range(10_000).select((F.col("id") % 3).alias("v"), F.col("id").alias("k"))
-    tiled = with_ntiles(df, 5, {"t": "v"}, "k", at_most_rows=10_000, single_task_rows=-1)
+    tiled = with_ntiles(df, 5, {"t": "v"}, "k")
     plan = tiled._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "Window" not in plan
 
 
 def test_ntile_ties_go_by_key(spark):
     df = spark.createDataFrame([(1, k) for k in (7, 6, 5, 4, 3, 2, 1)], "v int, k bigint")
-    tiles = {r["k"]: r["t"] for r in with_ntiles(df, 5, {"t": "v"}, "k", at_most_rows=7).collect()}
+    tiles = {r["k"]: r["t"] for r in with_ntiles(df, 5, {"t": "v"}, "k").collect()}
     assert tiles == {1: 1, 2: 1, 3: 2, 4: 2, 5: 3, 6: 4, 7: 5}
 
 
@@ -90,7 +88,14 @@ def test_salted_lookup_spreads_the_hot_key(spark):
     assert sum(sizes) == 20_000
     # Unsalted, one of 8 partitions would hold at least a third of all rows.
     assert max(sizes) < 20_000 / 3 * 0.8, sizes
-    assert SALTS > 8
+    assert dict(hot_keys(fact, "key"))[1] > 4
+
+
+def test_rows_of_a_hot_key_without_spread_are_split(spark):
+    fact = spark.range(4000).select(F.lit(1).alias("key"), F.lit(None).cast("long").alias("row"))
+    dim = spark.createDataFrame([(1, "a"), (2, "b")], "key long, v string")
+    joined = lookup(fact.repartition(8), dim, "key", spread="row", dim_bytes_limit=-1)
+    assert joined.count() == 4000 and joined.where("v = 'a'").count() == 4000
 
 
 def test_random_split_ignores_partitioning(spark):
@@ -101,10 +106,10 @@ def test_random_split_ignores_partitioning(spark):
     assert 0.17 < len(two) / 5000 < 0.23
 
 
-def test_stratified_split_is_exact_in_both_forms(spark):
+def test_stratified_split_is_exact_on_any_partitioning(spark):
     df = spark.range(997).select(F.col("id").alias("customer_id"), (F.col("id") % 4 == 0).cast("int").alias("y"))
-    small = stratified_split(df.repartition(2), "y", at_most_rows=997)
-    large = stratified_split(df.repartition(8), "y", at_most_rows=997, single_task_rows=-1)
+    small = stratified_split(df.repartition(2), "y")
+    large = stratified_split(df.repartition(8), "y")
     counts = {(r["y"], r["is_test"]): r["count"] for r in small.groupBy("y", "is_test").count().collect()}
     assert counts[(0, True)] == 149 and counts[(1, True)] == 50  # 20% of 747 and of 250, halves up
     key = ["customer_id", "y", "is_test"]
@@ -113,12 +118,12 @@ def test_stratified_split_is_exact_in_both_forms(spark):
 
 def test_stratified_split_with_one_label(spark):
     df = spark.range(10).select(F.col("id").alias("customer_id"), F.lit(1).alias("y"))
-    split = stratified_split(df, "y", at_most_rows=10, single_task_rows=-1)
+    split = stratified_split(df, "y")
     assert split.where("is_test").count() == 2
 
 
 def test_builtin_window_matches_spark_ntile(spark):
     df = spark.range(1003).select((F.col("id") % 10).alias("v"), F.col("id").alias("k"))
-    ours = with_ntiles(df, 5, {"t": "v"}, "k", at_most_rows=1003, single_task_rows=-1)
+    ours = with_ntiles(df, 5, {"t": "v"}, "k")
     theirs = df.withColumn("t", F.ntile(5).over(Window.orderBy("v", "k")))
     assert ours.exceptAll(theirs.select(ours.columns)).isEmpty()

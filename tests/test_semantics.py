@@ -113,14 +113,6 @@ def test_first_matching_segment_wins(spark, scores, name):
     assert df.select(rfm.segment_of(F.col("r"), F.col("f"), F.col("m"))).first()[0] == name
 
 
-def test_rfm_segments_agree_with_and_without_the_single_task_window(spark):
-    orders = [(n, n % 23, SIGNUP + timedelta(days=(n * 37) % 200), DONE) for n in range(120)]
-    star = make_star(spark, [], orders, [(n, 1, 1, 1, (n * 13) % 50) for n in range(120)])
-    window = rfm.rfm_segments(star)
-    ranked = rfm.rfm_segments(star, single_task_rows=0)
-    assert sorted(map(tuple, window.collect())) == sorted(map(tuple, ranked.select(window.columns).collect()))
-
-
 def test_missing_month_separates_lag_from_calendar_shift(spark):
     monthly = spark.createDataFrame([(date(2024, 1, 1), Decimal("10")), (date(2024, 3, 1), Decimal("15"))], "month date, revenue decimal(12,2)")
     by_lag = {r["month"]: r for r in rows(growth.growth_by_lag(monthly))}
@@ -302,3 +294,43 @@ def test_constant_column_is_centred_only(spark):
     scaled = segment.scale_rfm(rfm_rows).collect()
     assert [r["recency_scaled"] for r in scaled] == [0.0, 0.0]
     assert sorted(round(r["frequency_scaled"], 9) for r in scaled) == [-1.0, 1.0]  # population deviation
+
+
+def test_category_totals_equal_the_card_with_unknown_members(spark):
+    orders = [(1, 1, SIGNUP, DONE), (2, 99, SIGNUP, DONE)]
+    items = [(1, 1, 2, 5, 10), (1, 77, 1, 3, 3), (2, 1, 1, 5, 5), (66, 1, 4, 5, 20)]
+    star = make_star(spark, [(1, SIGNUP, "control")], orders, items, [(1, "Toys", 2, 5)])
+    card = kpi.kpi_cards(star).first()["total_revenue"]
+    categories = {r["category"]: r["gross_revenue"] for r in kpi.revenue_by_category(star).collect()}
+    assert categories == {"Toys": 35.0, None: 3.0} and sum(categories.values()) == card
+    channels = {r["channel"]: r["total_revenue"] for r in kpi.filtered_measure(star).collect()}
+    assert channels == {"Web": 18.0, None: 20.0}
+    net = {(r["country"], r["category"]): r["net_revenue"] for r in kpi.star_revenue(star).collect()}
+    assert net == {("X", "Toys"): 10.0, ("X", None): 3.0, (None, "Toys"): 5.0}
+
+
+def test_lines_of_other_orders_leave_before_the_sum(spark):
+    """The plans of the experiment and of the features have the semi-join below the sum over lines."""
+    from loomcart.catalog import queries
+
+    for name in ("ab_readout", "clv_features"):
+        plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        lines = plan.split("\n")
+        at = next(i for i, text in enumerate(lines) if "lineitem" in text.lower() or "l_extendedprice" in text and "Relation" in text)
+        above = [text for text in lines[:at]]
+        semi = max(i for i, text in enumerate(above) if "LeftSemi" in text)
+        sums = max(i for i, text in enumerate(above) if "Aggregate [" in text and "line_total" in text)
+        assert sums < semi < at, name
+
+
+def test_a_changed_file_changes_the_answer(spark, tmp_path):
+    from loomcart.catalog import queries
+
+    for name in ("orders", "customer", "lineitem", "nation", "part"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    report = queries()["web_share"]
+    before = report(spark, str(tmp_path)).count()
+    some = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").where("o_custkey < 20")
+    some.write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
+    after = report(spark, str(tmp_path)).count()
+    assert 0 < after <= 20 < before
