@@ -43,10 +43,15 @@ def revenue_growth(star: Star) -> DataFrame:
     return growth_by_lag(monthly_revenue(star)).orderBy("month")
 
 
+def last_of(monthly: DataFrame) -> DataFrame:
+    """The last month of a frame with one row per month, with its growth."""
+    last = F.max_by(F.struct("month", "revenue", "mom_growth_pct", "yoy_growth_pct"), "month")
+    return growth_by_lag(monthly).agg(last.alias("last")).select("last.*")
+
+
 def latest_month(star: Star) -> DataFrame:
     """The last row of the growth report."""
-    last = F.max_by(F.struct("month", "revenue", "mom_growth_pct", "yoy_growth_pct"), "month")
-    return growth_by_lag(monthly_revenue(star)).agg(last.alias("last")).select("last.*")
+    return last_of(monthly_revenue(star))
 
 
 def daily_gross(star: Star) -> DataFrame:

@@ -19,7 +19,7 @@ def write_outputs(star: Star, folder: str, clv_trees: int = clv.TREES, churn_tre
         "customer_segments": segment.kmeans_segments(segments),
         "segment_profile": segment.segment_profile(segments),
         "monthly_revenue": growth.revenue_growth(star),
-        "ab_test_results": abtest.ab_summary(star),
+        "ab_test_results": abtest.ab_summary(star).withColumnRenamed("significant_at_0_05", "significant_at_0.05"),
         "clv_predictions": clv.clv_predictions(spend),
         "churn_predictions": churn.churn_predictions(lapse).orderBy("churn_probability", ascending=False),
     }

@@ -23,7 +23,8 @@ def duck(folder: str) -> duckdb.DuckDBPyConnection:
     for table in TABLES:
         path = Path(folder) / f"{table}.parquet"
         if path.exists():
-            con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{path}')")
+            files = f"{path}/*.parquet" if path.is_dir() else path
+            con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{files}')")
     return con
 
 
