@@ -54,14 +54,18 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[s
         F.col("lang").isNotNull() & (F.length("text") > 0)
     )
     hashed = known.select("lang", F.xxhash64("text").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("part"))
+    # Hashes small enough to hold about four times the sample go on, so that no task meets a whole language.
+    sizes_of = hashed.groupBy("lang").agg(F.approx_count_distinct("h").alias("texts"))
+    place = F.col("h") / 2.0**64 + 0.5
+    small = hashed.join(F.broadcast(sizes_of), "lang").where(place * F.col("texts") < 4 * SAMPLE_TEXTS)
     first = (
-        hashed.select("lang", "h")
+        small.select("lang", "h")
         .distinct()
         .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
         .where(F.col("place") <= SAMPLE_TEXTS)
     )
     rows = (
-        hashed.join(F.broadcast(first), ["lang", "h"])  # at most SAMPLE_TEXTS rows for each language
+        small.join(F.broadcast(first), ["lang", "h"])  # at most SAMPLE_TEXTS rows for each language
         .groupBy("lang", "place")
         .agg(F.min("part").alias("part"))
         .orderBy("lang", "place")
