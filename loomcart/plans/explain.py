@@ -23,6 +23,9 @@ from loomcart.plans.churn import ChurnRun
 from loomcart.session import scratch_path, ship_package
 
 
+MAX_PATH = 12  # features above one leaf
+
+
 @dataclass(frozen=True)
 class Condition:
     """A row passes when the feature is above ``low``, at most ``high`` and, for a category, allowed."""
@@ -53,6 +56,8 @@ def saved_nodes(spark: SparkSession, model) -> dict[int, dict[int, object]]:
 def _contributions(value: float, passed_if_unknown: list[float]) -> np.ndarray:
     """Shapley values of the product game for every pass/fail pattern of the path features."""
     n = len(passed_if_unknown)
+    if n > MAX_PATH:
+        raise ValueError(f"a leaf below {n} features would need a table of 2^{n} rows")
     table = np.zeros((2**n, n))
     for mask in range(2**n):
         known = [float(mask >> j & 1) for j in range(n)]
