@@ -37,13 +37,10 @@ _ID = re.compile(r"<urn:x-page:(null|-?\d+)>")
 def make_dictionary(pages: DataFrame, html: str) -> bytes:
     """A dictionary from the payloads with the smallest hashes; a plain run of them where too few are there to train."""
     payload = F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
-    rows = (
-        pages.select(F.substring(payload, 1, SAMPLE_BYTES).alias("part"), F.xxhash64(payload).alias("h"))
-        .where(F.length("part") > 0)
-        .orderBy("h", "part")
-        .limit(SAMPLE_RECORDS)
-        .collect()
-    )
+    hashed = pages.select(F.xxhash64(payload).alias("h"), F.substring(payload, 1, SAMPLE_BYTES).alias("part"))
+    # Hashes small enough to hold about four times the sample, so that tasks do not each send a whole sample.
+    few = hashed.where((F.col("h") / 2.0**64 + 0.5) * pages.count() < 4 * SAMPLE_RECORDS).where(F.length("part") > 0)
+    rows = few.groupBy("h").agg(F.min("part").alias("part")).orderBy("h").limit(SAMPLE_RECORDS).collect()
     parts = [bytes(r["part"]) for r in rows]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, parts).as_bytes()
