@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +29,12 @@ SHARD_BYTES = 48 << 20
 CHUNK_BYTES = 4 << 20
 QUERY_BLOCK = 4096
 BLOCK = 64
+#: Neighbouring blocks that are scored at once.
+GROUP = 8
+#: Query blocks of at most this measured size are broadcast; larger ones and the shards are dealt out over a grid.
+BROADCAST_BYTES = 64 * 2**20
+#: Shards that one task searches in turn, its best scores so far pruning the next, and query blocks it remembers.
+SHARDS_PER_TASK, HELD = 3, 64
 #: Terms of a shard kept as a dense matrix; the others are posting lists.
 DENSE = 256
 BATCH = 128
@@ -63,18 +70,18 @@ _INDEX = pa.schema(
 
 def _postings(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lengths, and term, document and frequency of every posting; last the most frequent term of each document."""
-    parts = [terms_of((t or "").encode()) for t in texts]
+    parts = [np.sort(terms_of((t or "").encode())) for t in texts]
     lengths = np.array([len(p) for p in parts], np.int64)
     term = np.concatenate(parts) if parts else np.empty(0, np.uint64)
     doc = np.repeat(np.arange(len(parts)), lengths)
-    order = np.lexsort((term, doc))
-    term, doc = term[order], doc[order]
     at = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (doc[1:] != doc[:-1]))[: len(term)])
     freq = np.diff(np.append(at, len(term)))
     term, doc = term[at], doc[at]
     top = np.zeros(len(parts), np.uint64)
-    by = np.lexsort((term, freq, doc))
-    top[doc[by]] = term[by]  # the last of a document is its most frequent
+    if len(term):
+        first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+        most = np.repeat(np.maximum.reduceat(freq, first), np.diff(np.append(first, len(doc))))
+        top[doc[freq == most]] = term[freq == most]
     return lengths, term, doc, freq.astype(np.uint32), top
 
 
@@ -207,87 +214,131 @@ def open_shard(row: dict, average: float) -> Shard:
     return Shard(ids, terms, first, places, impacts, dense, matrix, maxima)
 
 
-def search_batch(shard: Shard, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[int, float]]]:
-    """The best k (document, score) of a shard for each query (terms, weights)."""
+Hits = tuple[np.ndarray, np.ndarray, np.ndarray]  # query number, document, score; sorted by all three, best first
+
+
+def best_of(row: np.ndarray, ids: np.ndarray, value: np.ndarray, k: int) -> Hits:
+    """The best k hits of each query."""
+    order = np.lexsort((ids, -value, row))
+    row, ids, value = row[order], ids[order], value[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    kept = place < k
+    return row[kept], ids[kept], value[kept]
+
+
+def search_batch(shard: Shard, queries: list[tuple[np.ndarray, np.ndarray]], k: int, held: Hits) -> Hits:
+    """The best k for each query (terms, weights) among the shard's documents and the hits held so far."""
     width, blocks = len(shard.matrix), len(shard.maxima)
+    slack = 10.0**-DIGITS
+    asked, place = np.unique(np.concatenate([t for t, _ in queries]), return_inverse=True)
+    at = np.minimum(np.searchsorted(shard.terms, asked), len(shard.terms) - 1)
+    known = (shard.terms[at] == asked)[place]
+    at = at[place][known]
+    of = np.repeat(np.arange(len(queries)), [len(t) for t, _ in queries])[known]
+    weight = np.concatenate([w for _, w in queries])[known]
+
     column = np.full(len(shard.terms), -1)
     column[shard.dense] = np.arange(len(shard.dense))
+    full = column[at] >= 0
     weights = np.zeros((len(queries), len(shard.dense)))
-    cells, values = [], []
-    for q, (terms, weight) in enumerate(queries):
-        at = np.minimum(np.searchsorted(shard.terms, terms), len(shard.terms) - 1)
-        known = shard.terms[at] == terms
-        at, weight = at[known], weight[known]
-        full = column[at] >= 0
-        weights[q, column[at[full]]] = weight[full]
-        rare, weight = at[~full], weight[~full]
-        number = shard.first[rare + 1] - shard.first[rare]
-        post = np.repeat(shard.first[rare] - np.append(0, np.cumsum(number)[:-1]), number) + np.arange(number.sum())
-        cells.append(q * width + shard.places[post])
-        values.append(np.repeat(weight, number) * shard.impacts[post])
-    rest = np.bincount(np.concatenate(cells), np.concatenate(values), len(queries) * width).reshape(len(queries), width)
-    bound = weights @ shard.maxima.T + rest.reshape(len(queries), blocks, BLOCK).max(axis=2)
-    slack = 10.0**-DIGITS
-
-    scores = np.zeros((len(queries), width))
-    todo = bound > 0
-    least = np.zeros(len(queries))
-
-    def score(which: np.ndarray, block: int) -> None:
-        own = slice(block * BLOCK, (block + 1) * BLOCK)
-        scores[which, own] = weights[which] @ shard.matrix[own].T + rest[which, own]
-        todo[which, block] = False
-
-    def raise_least() -> None:
-        if width >= k:
-            np.maximum(least, np.partition(scores, width - k, axis=1)[:, width - k], out=least)
-
-    best = np.argsort(-bound, axis=1)[:, :2]
-    for block in np.unique(best):
-        score(np.flatnonzero((best == block).any(axis=1) & todo[:, block]), block)
-    raise_least()
-    for turn, block in enumerate(np.argsort(-bound.max(axis=0))):
-        which = np.flatnonzero(todo[:, block] & (bound[:, block] >= least - slack))
-        if len(which):
-            score(which, block)
-        if turn % 64 == 63:
-            raise_least()
-    raise_least()
-    rounded = np.round(scores[:, : len(shard.ids)], DIGITS)
-    out = []
-    for q in range(len(queries)):
-        near = np.flatnonzero((rounded[q] >= least[q] - slack) & (rounded[q] > 0))
-        order = near[np.lexsort((shard.ids[near], -rounded[q][near]))[:k]]
-        out.append(list(zip(shard.ids[order].tolist(), rounded[q][order].tolist())))
-    return out
-
-
-def _search(average: float, k: int):
+    weights[of[full], column[at[full]]] = weight[full]
+    rare = at[~full]
+    number = shard.first[rare + 1] - shard.first[rare]
+    post = np.repeat(shard.first[rare] - np.append(0, np.cumsum(number)[:-1]), number) + np.arange(number.sum())
+    cells = np.repeat(of[~full] * width, number) + shard.places[post]
+    # What posting lists give is known for every document; frequent terms are added block by block.
+    scores = np.bincount(cells, np.repeat(weight[~full], number) * shard.impacts[post], len(queries) * width)
+    scores = scores.reshape(len(queries), width).astype(float, copy=False)  # without postings bincount gives integers
+    bound = weights @ shard.maxima.T + scores.reshape(len(queries), blocks, BLOCK).max(axis=2)
+
+    scored = np.zeros((len(queries), blocks), bool)
+    best = np.zeros((len(queries), blocks))  # best score of every scored block
+    least = np.full(len(queries), slack)
+    found = np.bincount(held[0], minlength=len(queries))
+    full_lists = np.flatnonzero(found == k)
+    least[full_lists] = held[2][np.cumsum(found)[full_lists] - 1]  # the last of k held hits
+
+    def score(which: np.ndarray, first: int, last: int) -> None:
+        """Adds the frequent terms of the blocks from ``first`` to before ``last`` for queries that have none of them."""
+        own = slice(first * BLOCK, last * BLOCK)
+        scores[which, own] += weights[which] @ shard.matrix[own].T
+        best[which, first:last] = scores[which, own].reshape(len(which), last - first, BLOCK).max(axis=2)
+        scored[which, first:last] = True
+
+    def raise_least(values: np.ndarray) -> None:
+        """``values``: for every query the scores of different documents."""
+        if values.shape[1] >= k:
+            np.maximum(least, np.partition(values, values.shape[1] - k, axis=1)[:, values.shape[1] - k], out=least)
+
+    top = np.argsort(-bound, axis=1)[:, :2]
+    for block in np.unique(top):
+        score(np.flatnonzero((top == block).any(axis=1)), block, block + 1)
+    places = (top[:, :, None] * BLOCK + np.arange(BLOCK)).reshape(len(queries), -1)
+    raise_least(np.take_along_axis(scores, places, axis=1))
+    groups = [(g, min(g + GROUP, blocks)) for g in range(0, blocks, GROUP)]
+    for turn, (first, last) in enumerate(sorted(groups, key=lambda g: -bound[:, g[0] : g[1]].max())):
+        wanted = (bound[:, first:last] >= least[:, None] - slack) & ~scored[:, first:last]
+        fresh = wanted.any(axis=1) & ~scored[:, first:last].any(axis=1)
+        score(np.flatnonzero(fresh), first, last)
+        for block in np.flatnonzero(wanted[~fresh].any(axis=0)):
+            score(np.flatnonzero(wanted[:, block] & ~fresh), first + block, first + block + 1)
+        if turn % 4 == 3:
+            raise_least(best)
+    raise_least(best)
+    width = len(shard.ids)
+    near = np.repeat(scored, BLOCK, axis=1)[:, :width] & (scores[:, :width] >= least[:, None] - slack)
+    row, doc = np.nonzero(near)
+    value = np.round(scores[row, doc], DIGITS)
+    row, ids, value = row[value > 0], shard.ids[doc[value > 0]], value[value > 0]
+    return best_of(*[np.concatenate(pair) for pair in zip(held, (row, ids, value))], k)
+
+
+def _search(average: float, k: int, shared: Broadcast | None):
+    """``shared`` holds the query blocks that every shard meets; without it each row brings its own."""
     schema = pa.schema([("query_id", pa.int64()), ("digest", pa.int64()), ("doc_id", pa.int64()), ("score", pa.float64())])
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[np.ndarray, np.ndarray, list[Hits]]] = {}  # of the task's shards so far, by query block
+
+        def give(block: int) -> pa.RecordBatch:
+            queries, digests, hits = held.pop(block)
+            rows = [np.concatenate([h[0] + i * BATCH for i, h in enumerate(hits)]), *[np.concatenate([h[j] for h in hits]) for j in (1, 2)]]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in (queries[rows[0]], digests[rows[0]], rows[1], rows[2])], schema=schema)
+
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
                 shard = open_shard(row, average)
                 if not len(shard.terms):
                     continue
-                ids, digests, numbers = (_expand(row[c], np.int64) for c in ("queries", "digests", "numbers"))
-                terms, weights = _expand(row["query_terms"], np.int64).view(np.uint64), _expand(row["weights"], np.float64)
-                first = np.append(0, np.cumsum(numbers))
-                for begin in range(0, len(ids), BATCH):
-                    own = range(begin, min(begin + BATCH, len(ids)))
-                    found = search_batch(shard, [(terms[first[q] : first[q + 1]], weights[first[q] : first[q + 1]]) for q in own], k)
-                    rows = [(ids[q], digests[q], d, s) for q, hits in zip(own, found) for d, s in hits]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(list(c), f.type) for c, f in zip(zip(*rows) if rows else ((),) * 4, schema)], schema=schema
-                    )
+                for asked in shared.value if shared else [row]:
+                    ids, digests, numbers = (_expand(asked[c], np.int64) for c in ("queries", "digests", "numbers"))
+                    terms, weights = _expand(asked["query_terms"], np.int64).view(np.uint64), _expand(asked["weights"], np.float64)
+                    first = np.append(0, np.cumsum(numbers))
+                    none = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+                    block = asked["block"]
+                    if block not in held:
+                        if len(held) >= HELD:
+                            yield give(next(iter(held)))
+                        held[block] = (ids, digests, [none] * -(-len(ids) // BATCH))
+                    hits = held[block][2]
+                    for n, begin in enumerate(range(0, len(ids), BATCH)):
+                        own = range(begin, min(begin + BATCH, len(ids)))
+                        batch_of = [(terms[first[q] : first[q + 1]], weights[first[q] : first[q + 1]]) for q in own]
+                        hits[n] = search_batch(shard, batch_of, k, hits[n])
+        for block in list(held):
+            yield give(block)
 
     return search
 
 
 def top_k(
-    docs: DataFrame, queries: Column, k: int = 10, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    queries: Column,
+    k: int = 10,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The best ``k`` documents for every row of ``docs`` for which ``queries`` holds, its whole text being the query.
 
@@ -318,13 +369,20 @@ def top_k(
         .mapInArrow(_pack_queries, _BLOCKS_SQL).withColumnRenamed("terms", "query_terms")
     )
     packed = materialise(packed, "query-blocks")
-    # The stated queries meet every shard in blocks: both sides are dealt out over the grid of shards and blocks.
-    cells = index.select("shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")).alias("block"))
-    grid = materialise(cells, "grid")
-    found = (
-        index.drop("docs", "tokens").join(grid, "shard").repartition(max(int(shards) * blocks, 1), "shard", "block")
-        .join(packed, "block").mapInArrow(_search(max(float(tokens or 0) / max(total, 1.0), 1e-9), k), "query_id long, digest long, doc_id long, score double")
-    )
+    # The stated queries meet every shard, in blocks.
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")).alias("block")
+    shards_only = index.drop("docs", "tokens")
+    size = packed.agg(F.sum(sum(F.length(c) for c in packed.columns[1:]))).first()[0] or 0
+    if size <= broadcast_bytes:
+        shared = docs.sparkSession.sparkContext.broadcast([r.asDict() for r in packed.collect()])
+        cells = shards_only.coalesce(max(1, -(-int(shards) // SHARDS_PER_TASK)))
+    else:
+        shared = None
+        grid = index.select("shard", every)
+        cells = shards_only.join(grid, "shard").repartition(max(int(shards) * blocks, 1), "shard", "block").join(packed, "block")
+    average = max(float(tokens or 0) / max(total, 1.0), 1e-9)
+    found = cells.mapInArrow(_search(average, k, shared), "query_id long, digest long, doc_id long, score double")
+
     best = Window.partitionBy("query_id", "digest").orderBy(F.desc("score"), "doc_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select(

@@ -57,15 +57,15 @@ def test_query(spark):
     compare(queries()["op10_topk"](spark, folder).collect(), brute(rows, 10, 50), 10)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_many_shards(spark, monkeypatch, seed):
-    for name, value in (("SHARD_BYTES", 3000), ("CHUNK_BYTES", 1000), ("QUERY_BLOCK", 7), ("BLOCK", 4), ("DENSE", 3), ("BATCH", 5)):
+@pytest.mark.parametrize(("seed", "limit"), [(1, 1 << 20), (2, -1)])
+def test_many_shards(spark, monkeypatch, seed, limit):
+    for name, value in (("SHARD_BYTES", 3000), ("CHUNK_BYTES", 1000), ("QUERY_BLOCK", 7), ("BLOCK", 4), ("DENSE", 3), ("BATCH", 5), ("GROUP", 3), ("HELD", 2)):
         monkeypatch.setattr(topk, name, value)
     r = random.Random(seed)
     rows = [(i, " ".join(r.choice(["The", "the", "a", "B", "c9", "é"] + [f"w{r.randint(0, 60)}"] * 4) for _ in range(r.randint(0, 40)))) for i in range(200)]
     rows += [(3, rows[3][1]), (500, None), (None, "the a w1"), (501, "")]
     docs = spark.createDataFrame([(*row, 1) for row in rows], "doc_id long, text string, score int").repartition(3)
-    compare(topk.top_k(docs, F.col("doc_id") % 5 == 0, k=4).collect(), brute(rows, 4, 5), 4)
+    compare(topk.top_k(docs, F.col("doc_id") % 5 == 0, k=4, broadcast_bytes=limit).collect(), brute(rows, 4, 5), 4)
 
 
 def test_empty(spark):
