@@ -25,7 +25,7 @@ from loomcart.llm.common import LAST_ID, UPPER, text_chunks
 from loomcart.session import materialise, ship_package
 
 K1, B = 1.2, 0.75
-SHARD_BYTES = 48 << 20
+SHARD_BYTES = 16 << 20
 CHUNK_BYTES = 4 << 20
 QUERY_BLOCK = 4096
 BLOCK = 64
@@ -34,10 +34,10 @@ GROUP = 8
 #: Query blocks of at most this measured size are broadcast; larger ones and the shards are dealt out over a grid.
 BROADCAST_BYTES = 64 * 2**20
 #: Shards that one task searches in turn, its best scores so far pruning the next, and query blocks it remembers.
-SHARDS_PER_TASK, HELD = 3, 64
+SHARDS_PER_TASK, HELD = 6, 64
 #: Terms of a shard kept as a dense matrix; the others are posting lists.
 DENSE = 256
-BATCH = 128
+BATCH = 64
 #: Scores are compared and returned at this many decimals.
 DIGITS = 6
 _WORDS = bytes(b + 32 if chr(b) in UPPER else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
