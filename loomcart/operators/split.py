@@ -15,7 +15,7 @@ from loomcart.session import materialise
 
 SEED = 42
 TEST_PERCENT = 20
-#: Labelled rows that a boosted model is fitted on at most, about; those with the smallest key hashes.
+#: Labelled rows that the boosted classifier is fitted on at most, about; those with the smallest key hashes.
 FIT_ROWS = 200_000
 FIT_ROWS_PER_TASK = 25_000
 
@@ -51,15 +51,16 @@ def stratified_split(
 
 
 @contextmanager
-def fit_rows(train: DataFrame, key: str, limit: int = FIT_ROWS, seed: int = SEED) -> Iterator[DataFrame]:
-    """At most about ``limit`` rows of ``train``, cached in few partitions while the block runs.
+def fit_rows(train: DataFrame, key: str, limit: int | None = FIT_ROWS, seed: int = SEED) -> Iterator[DataFrame]:
+    """At most about ``limit`` rows of ``train``, or all without a limit, cached in few partitions while the block runs.
 
     Boosting runs several jobs for each of its rounds, and on few rows their cost is that of starting tasks.
     """
-    total = train.count()
-    share = share_between(F.col(key), seed + 1)
-    rows = train.where(share < math.ceil(2**32 * min(1.0, limit / max(total, 1))))
-    kept = rows.repartition(max(1, math.ceil(min(total, limit) / FIT_ROWS_PER_TASK))).drop(key).persist()
+    total, rows = train.count(), train
+    if limit is not None and total > limit:
+        rows = train.where(share_between(F.col(key), seed + 1) < math.ceil(2**32 * (limit / total)))
+        total = limit
+    kept = rows.repartition(max(1, math.ceil(total / FIT_ROWS_PER_TASK))).drop(key).persist()
     try:
         yield kept
     finally:

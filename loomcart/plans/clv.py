@@ -36,7 +36,7 @@ def clv_split(star: Star) -> DataFrame:
 
 
 def train_clv(star: Star, trees: int = TREES) -> ClvRun:
-    """Fit on the train part; ``scored`` holds every eligible customer with its prediction."""
+    """Fit on the whole train part; ``scored`` holds every eligible customer with its prediction."""
     table = materialise(clv_split(star), "clv")
     encoder = fit_encoder(table.where(~F.col("is_test")), NUMBERS, CATEGORIES)
     encoded = encoder.transform(table)
@@ -44,7 +44,7 @@ def train_clv(star: Star, trees: int = TREES) -> ClvRun:
         labelCol="spend_next90", maxIter=trees, maxDepth=DEPTH, stepSize=RATE, seed=SEED
     )
     train = encoded.where(~F.col("is_test")).select("customer_id", "features", "spend_next90")
-    with fit_rows(train, "customer_id") as rows:
+    with fit_rows(train, "customer_id", limit=None) as rows:
         model = learner.fit(rows)
     return ClvRun(model.transform(encoded), encoder.names(), model)
 

@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from loomcart.operators import split
 from loomcart.operators.encode import fit_encoder
 from loomcart.operators.calendar import calendar_covering
 from loomcart.plans import churn, clv, explain, kpi, segment
@@ -112,6 +113,20 @@ def test_models_train_on_missing_traits(spark, planted):
     assert clv.clv_predictions(clv.train_clv(star, trees=2)).count() == 240
 
 
+def test_clv_is_fitted_on_all_training_rows(planted, monkeypatch):
+    fitted = []
+
+    class Learner(clv.GBTRegressor):
+        def fit(self, rows, params=None):
+            fitted.append(rows.count())
+            return super().fit(rows, params)
+
+    monkeypatch.setattr(clv, "GBTRegressor", Learner)
+    monkeypatch.setattr(split.fit_rows.__wrapped__, "__defaults__", (50, split.SEED))
+    run = clv.train_clv(planted, trees=2)
+    assert fitted == [run.scored.where("not is_test").count()]
+
+
 def test_clv_learns_and_ranks_features(planted):
     run = clv.train_clv(planted, trees=5)
     metrics = {r["metric"]: r["value"] for r in clv.clv_metrics(run).collect()}
