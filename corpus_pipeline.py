@@ -17,12 +17,17 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near-duplicates; documents without words stay.
+    """One row of every group of near-duplicates, that with the smallest id; documents without words stay.
 
-    Rows that repeat an id are one document and stay or go together.
+    Each row is a document of its own, so repeated or missing ids join no texts. Null ids come last, and among rows of one
+    id the first as numbered stays.
     """
-    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    # The copy lies on disk until the application ends, next to what later stages write.
+    numbered = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered", compression="zstd")
+    found = minhash.near_duplicates(numbered, doc_id="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").cast("long").alias("doc_id"), "_row")
+    first = numbered.select("_row", "doc_id").join(found, "_row").groupBy("component_id").agg(F.min(order).alias("first"))
+    return numbered.join(first.select("first._row"), "_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

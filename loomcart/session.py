@@ -70,7 +70,7 @@ def discard(df: DataFrame) -> None:
         _delete(sc._jvm, sc._jsc.hadoopConfiguration(), folder)
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage, so that iterative work on the result neither repeats the
@@ -78,7 +78,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -67,3 +67,15 @@ def test_hard_rows(spark, tmp_path):
         for stage, (_, function) in enumerate(corpus_pipeline.STAGES):
             docs = materialise(function(spark, docs, str(tmp_path)), f"{name}-{stage}")
         assert set(docs.select("doc_id").distinct().toPandas()["doc_id"]) == ({3, 4, *range(10, 20)} if data else set())
+
+
+def test_rows_with_one_id_or_none_are_documents_of_their_own(spark):
+    schema = spark.read.parquet(f"{FOLDER}/documents.parquet").schema
+    first, second = (" ".join(f"{w}{i * i}" for i in range(n)) for w, n in (("a", 40), ("b", 60)))
+    rows = [(7, first), (9, second), (None, first), (None, second), (None, "clean words without a copy"), (None, None), (None, None)]
+    rows += [(11, "one text under one id"), (11, "one text under one id"), (11, "another text under that id"), (12, "another text under that id")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], schema)
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect()]
+    want = [(7, first), (9, second), (None, "clean words without a copy"), (None, None), (None, None)]
+    want += [(11, "one text under one id"), (11, "another text under that id")]
+    assert sorted(got, key=str) == sorted(want, key=str)
