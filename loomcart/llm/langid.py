@@ -2,7 +2,8 @@
 
 Each language has a zstandard raw-content dictionary of its own text, in lower case. A text is cut into blocks, every
 block is compressed with every dictionary, and the language with the smallest total wins. Where the two best totals are
-close the prediction is marked as rejected.
+close, or the best one is close to the total without a dictionary, the prediction is marked as rejected: the text is of
+several languages, of one that was not learned, or of none.
 """
 
 from __future__ import annotations
@@ -28,8 +29,10 @@ BLOCK_BYTES = 4096
 LEVEL, SHORT_LEVEL, SHORT_BYTES = 7, 12, 512
 #: Bytes of difference that make one language e times as likely as another in the score.
 SCALE = 4.0
-#: The winner must be smaller than the second by so many bytes; 1 rejects equal totals alone.
-MIN_MARGIN = 1
+#: The winner must be smaller than the second, and than the text without a dictionary, by this share of its bytes and by
+#: so many bytes at least. Set on labelled rows that are not held out, of which 0.6 % are rejected, half of them of fewer
+#: than 32 bytes.
+MARGIN, MIN_MARGIN = 0.02, 2
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 
@@ -78,6 +81,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[s
 
 
 def _compressors(dictionaries: dict[str, bytes], level: int) -> list[zstandard.ZstdCompressor]:
+    """One for each dictionary, and one without."""
     made = []
     for content in dictionaries.values():
         shared = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -87,24 +91,27 @@ def _compressors(dictionaries: dict[str, bytes], level: int) -> list[zstandard.Z
                 level=level, dict_data=shared, write_content_size=False, write_checksum=False, write_dict_id=False
             )
         )
-    return made
+    return [*made, zstandard.ZstdCompressor(level=level, write_content_size=False, write_checksum=False)]
 
 
 def sizes(text: bytes, compressors: list[zstandard.ZstdCompressor]) -> list[int]:
-    """Compressed bytes of the whole text for each language."""
+    """Compressed bytes of the whole text for each compressor."""
     blocks = [text[i : i + BLOCK_BYTES] for i in range(0, len(text), BLOCK_BYTES)]
     return [sum(len(c.compress(b)) for b in blocks) for c in compressors]
 
 
-def decide(langs: list[str], totals: list[int]) -> tuple[str, float, bool]:
-    """Language, score and whether the margin is too narrow; equal totals go to the first language by name."""
+def decide(langs: list[str], totals: list[int], plain: int | None = None) -> tuple[str, float, bool]:
+    """Language, score and whether the margin is too narrow; equal totals go to the first language by name.
+
+    ``plain`` is the total without a dictionary. One language alone has no second and is taken for every text.
+    """
     order = sorted(range(len(langs)), key=lambda i: (totals[i], langs[i]))
     best = totals[order[0]]
     score = 1.0 / sum(math.exp(-(t - best) / SCALE) for t in totals)
     if len(order) == 1:
         return langs[order[0]], score, False
-    second = totals[order[1]]
-    return langs[order[0]], score, second - best < MIN_MARGIN
+    second = totals[order[1]] if plain is None else min(totals[order[1]], plain)
+    return langs[order[0]], score, second - best < max(MIN_MARGIN, MARGIN * best)
 
 
 def _judge(texts: list[str | None], langs: list[str], compressors: tuple[list, list]) -> list[tuple[str, float, bool]]:
@@ -115,7 +122,8 @@ def _judge(texts: list[str | None], langs: list[str], compressors: tuple[list, l
             out.append((UNKNOWN, 0.0, True))
         else:
             ready = prepare(value)
-            out.append(decide(langs, sizes(ready, short if len(ready) < SHORT_BYTES else usual)))
+            *totals, plain = sizes(ready, short if len(ready) < SHORT_BYTES else usual)
+            out.append(decide(langs, totals, plain))
     return out
 
 
@@ -123,7 +131,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], doc_id: str = "doc
     """Predicted language of every row: ``doc_id, lang_pred, score, rejected``, in input rows.
 
     Whole texts are read. A null text, a text without a letter, or an empty model gives ``und``, score 0 and a
-    rejection. Repeated rows and null ids are rows like others; other columns are ignored.
+    rejection. Narrow margins are rejected with the language that is nearest. Repeated rows and null ids are rows like others; other columns are ignored.
     """
     ship_package(docs.sparkSession)
     langs = list(dictionaries)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 from loomcart.llm import langid
 
 FR = "le chat noir est assis sur la grande table de la cuisine et regarde par la fenêtre "
@@ -41,3 +43,35 @@ def test_nothing_to_learn_from(spark):
 def test_equal_totals_are_rejected():
     assert langid.decide(["de", "en"], [10, 10])[0::2] == ("de", True)
     assert langid.decide(["de", "en"], [10, 12])[0::2] == ("de", False)
+
+
+def test_narrow_margins_are_rejected():
+    assert langid.decide(["de", "en"], [50_000, 50_001])[2]
+    assert langid.decide(["de", "en"], [50_000, 60_000], 50_001)[2]
+    assert not langid.decide(["de", "en"], [50_000, 60_000], 60_000)[2]
+
+
+def test_noise_mixed_and_unlearned_texts_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labelled = docs.where(docs["doc_id"].isNotNull() & ~langid.held_out("doc_id"))
+    model = langid.learn(labelled)
+    r = random.Random(4)
+    noise = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(n)) for n in (100, 500, 3000, 100_000)]
+    italian = "il gatto nero è seduto sulla grande tavola della cucina e guarda dalla finestra mentre la pioggia cade sopra i tetti "
+    polish = "czarny kot siedzi na dużym stole w kuchni i patrzy przez okno podczas gdy deszcz pada na dachy starego miasta "
+    texts = {lang: [row["text"] for row in labelled.where(labelled["lang"] == lang).orderBy("doc_id").limit(60).collect()] for lang in model}
+    mixed = []
+    for a, b in zip(model, [*model][1:]):
+        one, two = " ".join(texts[a])[:20_000], " ".join(texts[b])[:20_000]
+        best = None
+        for share in range(0, 101, 2):  # where the two languages weigh the same
+            text = "".join(one[i : i + 2 * share] + " " + two[i : i + 200 - 2 * share] + " " for i in range(0, 20_000, 200))
+            totals = langid.sizes(langid.prepare(text), langid._compressors(model, langid.LEVEL))
+            gap = abs(totals[[*model].index(a)] - totals[[*model].index(b)])
+            best = min(best or (gap, text), (gap, text))
+        mixed.append(best[1])
+    rows = [(i, t) for i, t in enumerate([*noise, italian, italian * 50, polish, polish * 50, *mixed])]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()
+    assert [row["doc_id"] for row in got if not row["rejected"]] == []
+    clean = langid.identify(labelled.where("octet_length(text) >= 32"), model).collect()
+    assert sum(row["rejected"] for row in clean) < 0.01 * len(clean)
