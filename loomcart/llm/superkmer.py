@@ -412,6 +412,14 @@ def _windows(text: bytes, spec: Spec) -> int:
 # Step 4: results
 
 
+def _whole_characters(raw: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """``gone``, extended to every byte of a UTF-8 character that lost one."""
+    character = np.cumsum((raw & 0xC0) != 0x80)
+    broken = np.zeros(len(raw) + 1, bool)
+    broken[character[gone]] = True
+    return broken[character]
+
+
 def _apply(spec: Spec, as_text: bool) -> Callable:
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.string() if as_text else pa.binary())]
@@ -432,11 +440,12 @@ def _apply(spec: Spec, as_text: bool) -> Callable:
             for i, (a, b) in enumerate(zip(pack.first[:-1].tolist(), pack.first[1:].tolist())):
                 gone = removed[a:b]
                 number = int(gone.sum())
+                lost = _whole_characters(pack.buffer[a:b], gone) if as_text and number and pack.token is None else gone
                 low, high = (a, b) if pack.token is None else (int(pack.token[a]), int(pack.token[b]))
                 if not number:
                     kept = raw[low:high] if pack.token is None else raw[low : max(low, high - 1)]
                 elif pack.token is None:
-                    kept = pack.buffer[a:b][~gone].tobytes()
+                    kept = pack.buffer[a:b][~lost].tobytes()
                 else:
                     kept = b" ".join(w for w, g in zip(raw[low:high].split(b" "), gone.tolist()) if not g)
                 rows["doc_id"].append(int(pack.ids[i]) if pack.has_id[i] else None)

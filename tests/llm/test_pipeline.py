@@ -79,3 +79,12 @@ def test_rows_with_one_id_or_none_are_documents_of_their_own(spark):
     want = [(7, first), (9, second), (None, "clean words without a copy"), (None, None), (None, None)]
     want += [(11, "one text under one id"), (11, "another text under that id")]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_bytes_of_two_broken_characters_do_not_join(spark):
+    schema = spark.read.parquet(f"{FOLDER}/documents.parquet").schema
+    middle = "".join(f" word{i}" for i in range(20))
+    texts = {1: f"one \u00a9{middle}\u00c3 end", 2: f"before \u0129{middle}\u00e4 after"}  # C2 A9 .. C3 83, C4 A9 .. C3 A4
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], schema)
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.repeated_passages(spark, docs, FOLDER).collect()}
+    assert got == {1: (texts[1], len(texts[1])), 2: ("before  after", 13)}
