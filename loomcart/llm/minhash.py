@@ -29,8 +29,12 @@ from loomcart.llm.common import LAST_ID, UPPER, text_chunks
 from loomcart.session import materialise, ship_package
 
 SHINGLE = 5
-#: Bands of ROWS hashes: a pair of similarity 0.85 misses all bands with probability (1 - 0.85^8)^40, about 3e-6.
+#: At least so many bands, of at most ROWS hashes each: a pair of similarity 0.85 misses all bands with probability
+#: (1 - 0.85^8)^40, about 3e-6. For lower thresholds ``banding`` keeps the probability at most at BAND_MISS.
 BANDS, ROWS = 40, 8
+BAND_MISS = 4e-6
+#: Hashes of a signature beyond which bands get fewer rows.
+HASHES = 384
 #: Hashes kept for verification (one byte of each), and how many are compared at once.
 KEPT, STEP = 128, 16
 MISS = 1e-6
@@ -70,21 +74,38 @@ def shingles(text: bytes) -> np.ndarray:
     return np.unique(found)
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    """MinHash values of a non-empty set."""
-    a, b = _hash_functions(BANDS * ROWS)
+@cache
+def banding(percent: int, miss: float = BAND_MISS) -> tuple[int, int]:
+    """Bands and rows by which a pair at the threshold misses all bands with probability ``miss`` at most.
+
+    The most rows that ``HASHES`` values allow, which make the fewest candidates; below about 4 percent, single values
+    in as many bands as it takes.
+    """
+    if not 0 < percent <= 100:
+        raise ValueError(f"a threshold from 1 to 100 percent, not {percent}")
+    for rows in range(ROWS, 0, -1):
+        alike = (percent / 100) ** rows
+        bands = max(BANDS, math.ceil(math.log(miss) / math.log1p(-alike))) if alike < 1 else BANDS
+        if bands * rows <= HASHES:
+            break
+    return bands, rows
+
+
+def signature(hashes: np.ndarray, number: int = BANDS * ROWS) -> np.ndarray:
+    """``number`` MinHash values of a non-empty set."""
+    a, b = _hash_functions(number)
     short = (hashes >> np.uint64(32)).astype(np.uint32)[None, :]
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint32).max, np.uint32)
+    least = np.full(number, np.iinfo(np.uint32).max, np.uint32)
     for i in range(0, short.shape[1], _STEP_WORDS):
         np.minimum(least, (short[:, i : i + _STEP_WORDS] * a + b).min(axis=1), out=least)
     return least
 
 
-def band_keys(signed: np.ndarray) -> np.ndarray:
+def band_keys(signed: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """One 64-bit key for each band; equal only for equal bands of one number."""
-    parts = signed.reshape(BANDS, ROWS).astype(np.uint64)
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for i in range(ROWS):
+    parts = signed.reshape(bands, rows).astype(np.uint64)
+    keys = np.arange(1, bands + 1, dtype=np.uint64)
+    for i in range(rows):
         keys = _mix(keys * np.uint64(0x9E3779B97F4A7C15) + parts[:, i])
     return keys.view(np.int64)
 
@@ -121,23 +142,26 @@ _SIGNED = "node long, has_id boolean, n long, digest binary, bands array<long>"
 _POOL = "node long, n long, sig binary, packed binary"
 
 
-def _sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table in text_chunks(batches, "text", CHUNK_BYTES):
-        size, digest, bands = [], [], []
-        for text in table["text"].to_pylist():
-            found = shingles((text or "").encode())
-            size.append(len(found))
-            digest.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-            bands.append(band_keys(signature(found)) if len(found) else None)
-        yield from pa.table(
-            {
-                "node": table["node"],
-                "has_id": table["has_id"],
-                "n": pa.array(size, pa.int64()),
-                "digest": pa.array(digest, pa.binary()),
-                "bands": pa.array(bands, pa.list_(pa.int64())),
-            }
-        ).to_batches()
+def _signed_in(bands: int, rows: int):
+    def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in text_chunks(batches, "text", CHUNK_BYTES):
+            size, digest, keys = [], [], []
+            for text in table["text"].to_pylist():
+                found = shingles((text or "").encode())
+                size.append(len(found))
+                digest.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
+                keys.append(band_keys(signature(found, bands * rows), bands, rows) if len(found) else None)
+            yield from pa.table(
+                {
+                    "node": table["node"],
+                    "has_id": table["has_id"],
+                    "n": pa.array(size, pa.int64()),
+                    "digest": pa.array(digest, pa.binary()),
+                    "bands": pa.array(keys, pa.list_(pa.int64())),
+                }
+            ).to_batches()
+
+    return sign
 
 
 def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,13 +341,14 @@ def near_duplicates(
     Words are runs of bytes other than blanks and 09-0D, with A-Z in lower case; a set holds the distinct runs of five
     words. Result, one row per input row: ``doc_id, n_shingles, component_id, kept``. Texts without words link to
     nothing and are kept. Rows with one id are one document; a null id counts as the largest id in comparisons, and its
-    component is null if it holds nothing else. Extra columns are ignored; an empty table gives an empty result.
+    component is null if it holds nothing else. Extra columns are ignored; an empty table gives an empty result. Bands
+    follow from ``percent``, so that pairs at a lower threshold are candidates as surely as at 85.
     """
     ship_package(docs.sparkSession)
     source = docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("node"), F.col(doc_id).isNotNull().alias("has_id"), F.col(text).alias("text")
     )
-    signed = materialise(source.mapInArrow(_sign, _SIGNED), "signed")
+    signed = materialise(source.mapInArrow(_signed_in(*banding(percent)), _SIGNED), "signed")
     full = signed.where(F.col("n") > 0)
     classes = materialise(full.groupBy("digest").agg(F.min("node").alias("rep")), "classes")
     # Equal sets are linked to their smallest document; rows of one id are one node already.
@@ -383,7 +408,7 @@ def near_duplicates(
         .where("parts > 1").select("band", F.col("top.component").alias("top"), F.ceil(F.col("size") / BLOCK).alias("blocks"))
     )
     mixed = materialise(labelled.join(largest, "band").withColumn("block", F.pmod(F.xxhash64("node"), "blocks")), "mixed")
-    keys = mixed.groupBy("node").agg(F.collect_set("band").alias("keys"))  # at most BANDS for each text of a node
+    keys = mixed.groupBy("node").agg(F.collect_set("band").alias("keys"))  # at most one for each band and text of a node
     every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     cells = F.explode(F.transform(every, lambda b: F.struct(F.least("block", b).alias("one"), F.greatest("block", b).alias("two"))))
     grid = (

@@ -106,3 +106,23 @@ def test_pruning_keeps_links():
     assert minhash.survivors(a, b, 0.85, 1e-6).all()
     far = np.where(r.random(a.shape) < 0.4, a, r.integers(0, 256, a.shape, dtype=np.uint8))
     assert not minhash.survivors(a, far, 0.85, 1e-6).any()
+
+
+def test_bands_follow_the_threshold():
+    assert minhash.banding(85) == (40, 8)
+    for percent in range(1, 101):
+        bands, rows = minhash.banding(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= minhash.BAND_MISS
+        assert bands * rows <= minhash.HASHES or percent < 4
+    with pytest.raises(ValueError):
+        minhash.banding(0)
+
+
+def test_links_at_a_lower_threshold(spark):
+    rows = []
+    for i in range(60):
+        base = [f"w{i}x{j}" for j in range(104)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[:80] + [f"v{i}x{j}" for j in range(20)]))]  # 76 of 120 shingles
+    got = sorted(tuple(r) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=60).collect())
+    assert got == brute(rows, 60)
+    assert sum(kept for *_, kept in got) == 60
