@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcart.llm import chat, decontaminate, langid, minhash, packing, substring, suffixarray, tokencount, topk, warc
+from loomcart.llm import chat, decontaminate, langid, minhash, packing, sharding, substring, suffixarray, tokencount, topk, warc
 from loomcart.session import scratch_path
 
 #: Folder of the public tokenizers' files; the package that holds them names it where this is None.
@@ -81,6 +81,13 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(_table(spark, folder, "documents"), F.col("doc_id") % 50 == 0)
 
 
+def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    found = sharding.shard_records(_table(spark, folder, "documents"), 8)
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_decontaminate,
@@ -93,5 +100,6 @@ def queries() -> dict[str, Query]:
         op8_token_counts,
         op9_packing,
         op10_topk,
+        op11_sharding,
     )
     return {q.__name__: q for q in found}
