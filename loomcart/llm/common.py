@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,3 +43,22 @@ def text_chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int) -> Ite
             held.append(batch.slice(start))
     if held:
         yield pa.Table.from_batches(held)
+
+
+class Numbers(dict):
+    """Numbers its keys from 0 in the order in which they are first asked for."""
+
+    def __missing__(self, key) -> int:
+        number = self[key] = len(self)
+        return number
+
+
+def squeeze(values: np.ndarray) -> bytes:
+    """Numbers as compressed bytes, those of equal weight side by side."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize)
+    return zstandard.compress(planes.T.tobytes(), 1)
+
+
+def expand(blob: bytes, kind: type) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(blob), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).reshape(-1).view(kind)

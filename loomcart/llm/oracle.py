@@ -102,6 +102,42 @@ FROM least_of LEFT JOIN n USING (doc_id)
 """
 
 
+OP12 = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM documents),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY 1),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+sized AS (SELECT lang, w[i:i + m - 1] AS p FROM starts, (SELECT unnest(range(1, 6)) AS m) WHERE i + m - 1 <= len(w)),
+f AS (SELECT lang, p, count(*) AS f FROM sized GROUP BY 1, 2 HAVING count(*) >= 100),
+cuts AS (SELECT f.lang, f.p, f.f AS a, unnest(range(1, len(f.p))) AS k FROM f WHERE len(p) > 1),
+scored AS (SELECT c.lang, c.p, c.a, c.k, l.f AS l, r.f AS r, n.n,
+  CAST((1000 * c.a::HUGEINT * n.n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cuts c JOIN n USING (lang) JOIN f l ON l.lang = c.lang AND l.p = c.p[1:c.k] JOIN f r ON r.lang = c.lang AND r.p = c.p[c.k + 1:]),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inside AS (SELECT lang, unnest([p[1:len(p) - 1], p[2:]]) AS p, f FROM f WHERE len(p) > 2),
+gone AS (SELECT DISTINCT i.lang, i.p FROM inside i JOIN f USING (lang, p) WHERE 100 * i.f >= 100 * f.f),
+named AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM weakest ANTI JOIN gone USING (lang, p))
+SELECT lang, row_number() OVER best AS rank, phrase, a, l, r, n, score FROM named
+WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER best <= 2000
+"""
+
+TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+ '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+OP13 = f"""
+WITH d AS (SELECT doc_id, {TERMS} AS w FROM documents),
+total AS (SELECT count(*) FILTER (len(w) > 0) AS docs, CAST(sum(len(w)) AS BIGINT) AS tokens FROM d),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+asked AS (SELECT item_id, unnest(list_distinct({TERMS})) AS term FROM benchmark),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM tf SEMI JOIN asked USING (term), total GROUP BY term, docs),
+score AS (SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // tokens)))) AS BIGINT) AS score
+  FROM asked JOIN weight USING (term) JOIN tf USING (term), total GROUP BY 1, 2)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM score WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER best <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontaminate": OP1,
@@ -110,4 +146,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_chat_format": OP5,
         "op6_warc": OP6,
         "op7_minhash": OP7,
+        "op12_collocations": OP12,
+        "op13_pair_bounds": OP13,
     }

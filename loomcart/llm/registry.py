@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcart.llm import chat, decontaminate, langid, minhash, packing, sharding, substring, suffixarray, tokencount, topk, warc
+from loomcart.llm import chat, collocations, decontaminate, langid, minhash, packing, pairbound, sharding, substring, suffixarray, tokencount, topk, warc
 from loomcart.session import scratch_path
 
 #: Folder of the public tokenizers' files; the package that holds them names it where this is None.
@@ -88,6 +88,14 @@ def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
+def op13_pair_bounds(spark: SparkSession, folder: str) -> DataFrame:
+    return pairbound.ranked_search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_decontaminate,
@@ -101,5 +109,7 @@ def queries() -> dict[str, Query]:
         op9_packing,
         op10_topk,
         op11_sharding,
+        op12_collocations,
+        op13_pair_bounds,
     )
     return {q.__name__: q for q in found}
