@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcart.functions.scalar import as_money
-from loomcart.operators import features, quality, tagging
+from loomcart.operators import features, quality, rollup, tagging
 from loomcart.operators.encode import fit_encoder
-from loomcart.plans import abtest, churn, clv, cohort, exec_summary, explain, growth, kpi, rfm, scenario, segment
+from loomcart.operators.order_values import completed, order_values
+from loomcart.plans import abtest, churn, clv, cohort, exec_summary, explain, growth, kpi, rfm, scenario, segment, trees
 from loomcart.session import materialise, scratch_path
 from loomcart.sources import sinks
+from loomcart.sources.checked import read_csv_checked
 from loomcart.sources.schemas import SCHEMAS
-from loomcart.sources.star import Star, load_report, read_csv_table, register
+from loomcart.sources.star import Star, drop_star, load_report, read_csv_table, register, store_star, stored_star
 from loomcart.sources.tpch import TEST_END, TEST_START, read_star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,36 +32,34 @@ SLICE = {
     "last_day": datetime.date(1999, 12, 31),
 }
 
-# Table definitions and fitted models by the state of their files: reports share both, as they would share registered
-# tables and a saved model, and a changed file means new ones. No query result is kept.
-_shared: dict[tuple, object] = {}
+# Fitted models by the state of the files they were fitted on: reports share a fit as they would share a saved model, and
+# a changed file means a new one. One fit of each kind is kept, and no query result.
+_shared: dict[str, tuple[tuple, object]] = {}
+#: The tables that the fits read.
+FITTED_ON = ["customer", "nation", "orders", "lineitem"]
 
 
-def _files(spark: SparkSession, folder: str) -> tuple:
-    """Name, length and time of every file of a folder of tables."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+def _files(spark: SparkSession, folder: str, tables: list[str]) -> tuple:
+    """Name, length and time of every file of some tables."""
     out = []
-    while found.hasNext():
-        file = found.next()
-        out.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    for table in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{table}.parquet")
+        found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+        while found.hasNext():
+            file = found.next()
+            out.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
     return tuple(sorted(out))
 
 
-def _kept(name: str, make: Callable[[], object], spark: SparkSession, folder: str):
-    key = (name, spark.sparkContext.applicationId, folder)
-    state = _files(spark, folder)
-    if key not in _shared or _shared[key][0] != state:
-        _shared[key] = (state, make())
-    return _shared[key][1]
-
-
 def _star(spark: SparkSession, folder: str) -> Star:
-    return _kept("star", lambda: read_star(spark, folder), spark, folder)
+    return read_star(spark, folder)
 
 
 def _fitted(name: str, train: Callable[[Star], object], spark: SparkSession, folder: str):
-    return _kept(name, lambda: train(_star(spark, folder)), spark, folder)
+    state = (spark.sparkContext.applicationId, folder, _files(spark, folder, FITTED_ON))
+    if name not in _shared or _shared[name][0] != state:
+        _shared[name] = (state, train(_star(spark, folder)))
+    return _shared[name][1]
 
 
 def _on_star(report: Callable[[Star], DataFrame]) -> Query:
@@ -92,6 +92,70 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Orders that are spoilt before a checked load, by remainder of the order id: the column and what stands there instead.
+SPOILT = {101: ("order_date", "not a date"), 103: ("channel", "Web,and more"), 107: ("order_id", None), 109: ("discount_pct", "0.12345")}
+
+
+def csv_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as CSV with some rows spoilt: rows by reason of rejection, and those loaded with the sum of their customers."""
+    path = scratch_path(spark, "orders-spoilt")
+    texts = _star(spark, folder).orders.select(*[F.col(c).cast("string").alias(c) for c in SCHEMAS["fact_orders"].names])
+    order = F.col("order_id").cast("long")
+    for divisor, (column, value) in SPOILT.items():
+        texts = texts.withColumn(f"_{divisor}", order % divisor == 0)
+    for divisor, (column, value) in SPOILT.items():
+        texts = texts.withColumn(column, F.when(F.col(f"_{divisor}"), F.lit(value)).otherwise(F.col(column)))
+    texts.select(SCHEMAS["fact_orders"].names).write.option("header", True).option("quote", "").csv(path)
+    load = read_csv_checked(spark, path, "fact_orders")
+    loaded = load.good.agg(F.count(F.lit(1)).alias("rows"), F.sum("customer_id").alias("customer_id_sum"))
+    return load.by_reason().withColumn("customer_id_sum", F.lit(None).cast("long")).unionByName(
+        loaded.select(F.lit("loaded").alias("reason"), "rows", "customer_id_sum")
+    )
+
+
+def stored_order_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Order values on stored, bucketed tables."""
+    store_star(_star(spark, folder), scratch_path(spark, "stored"), prefix="stored_")
+    return kpi.completed_values(stored_star(spark, "stored_"))
+
+
+def rollup_growth(spark: SparkSession, folder: str) -> DataFrame:
+    """Growth on a roll-up that was loaded in three batches, one of them twice."""
+    path = scratch_path(spark, "rollup")
+    star = _star(spark, folder)
+    values = order_values(completed(star.orders), star.lines).select("order_id", "order_date", "order_value")
+    for part, version in ((0, 1), (1, 2), (1, 2), (2, 3)):
+        rollup.load_batch(values.where(F.col("order_id") % 3 == part), path, version)
+    return growth.growth_by_lag(rollup.monthly_totals(spark, path)).orderBy("month")
+
+
+#: A known model of three trees over ``KNOWN_FEATURES``: tree, node, feature, threshold, categories, left, right, value.
+KNOWN_FEATURES = ["age", "orders_0_180", "spend_0_180", "avg_order_value", "channel_web_share"]
+KNOWN_TREES = [
+    (0, 0, 1, 2.5, None, 1, 2, None),
+    (0, 1, 4, 0.5, None, 3, 4, None),
+    (0, 2, -1, None, None, None, None, -0.5),
+    (0, 3, -1, None, None, None, None, 0.75),
+    (0, 4, -1, None, None, None, None, 0.25),
+    (1, 0, 2, 250000.0, None, 1, 2, None),
+    (1, 1, -1, None, None, None, None, 0.125),
+    (1, 2, 0, 40.0, None, 3, 4, None),
+    (1, 3, -1, None, None, None, None, -0.25),
+    (1, 4, -1, None, None, None, None, -0.375),
+    (2, 0, 0, None, [19.0, 25.0, 33.0, 60.0], 1, 2, None),
+    (2, 1, -1, None, None, None, None, 0.0625),
+    (2, 2, -1, None, None, None, None, -0.0625),
+]
+
+
+def known_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Margins and probabilities of the known model for every active customer."""
+    rows = churn.churn_split(_star(spark, folder))
+    x = F.array(*[F.col(c).cast("double") for c in KNOWN_FEATURES])
+    scored = trees.with_margin(rows, trees.tree_rows(spark, KNOWN_TREES), x)
+    return scored.select("customer_id", "margin", F.round(trees.probability(F.col("margin")), 9).alias("probability"))
+
+
 def ab_tagging(star: Star) -> DataFrame:
     first, last = (datetime.date.fromisoformat(d) for d in (TEST_START, TEST_END))
     return tagging.tag_orders(star.orders, star.customers, first, last).select(
@@ -196,6 +260,7 @@ def queries() -> dict[str, Query]:
         # sources, schema, data quality
         "load_report": _on_star(load_report),
         "csv_roundtrip": csv_roundtrip,
+        "csv_checked": csv_checked,
         "dq_primary_key": _on_star(quality.primary_key_report),
         "dq_foreign_key": _on_star(quality.foreign_key_report),
         "orders_without_items": _on_star(kpi.orders_without_items),
@@ -204,6 +269,7 @@ def queries() -> dict[str, Query]:
         "ab_tagging": _on_star(ab_tagging),
         "line_totals": _on_star(line_totals),
         "order_values": _on_star(kpi.completed_values),
+        "stored_order_values": stored_order_values,
         # RFM
         "rfm_raw": _on_star(lambda s: _money_out(rfm.rfm_raw(s))),
         "rfm_scores": _on_star(lambda s: _money_out(rfm.rfm_scores(s))),
@@ -213,9 +279,11 @@ def queries() -> dict[str, Query]:
         # cohorts
         "cohort_retention": _on_star(cohort.cohort_retention),
         "cohort_heatmap": _on_star(cohort.cohort_heatmap),
+        "active_customers": _on_star(cohort.active_customers),
         "cohort_pct_of_total": _on_star(cohort.cohort_pct_of_total),
         # growth
         "revenue_growth": _on_star(growth.revenue_growth),
+        "rollup_growth": rollup_growth,
         "latest_month": _on_star(growth.latest_month),
         "calendar_growth": _on_star(growth.calendar_growth),
         "revenue_mtd": _on_star(growth.revenue_mtd),
@@ -267,6 +335,7 @@ def queries() -> dict[str, Query]:
         # segmentation
         "rfm_features_scaled": _on_star(rfm_features_scaled),
         "kmeans_assign": _on_star(kmeans_assign),
+        "kmeans_step": _on_star(segment.segment_step),
         "kmeans_elbow": _on_star(segment.kmeans_elbow),
         "kmeans_segments": _on_fit(*kmeans, lambda run: _money_out(segment.kmeans_segments(run))),
         "segment_profile": _on_fit(*kmeans, segment.segment_profile),
@@ -277,6 +346,7 @@ def queries() -> dict[str, Query]:
         "known_churn_report": _on_star(lambda s: churn.churn_class_report(_known_churn(s))),
         "known_churn_averages": _on_star(lambda s: churn.churn_report_averages(_known_churn(s))),
         "known_churn_top100": _on_star(lambda s: churn.churn_risk_top(_known_churn(s))),
+        "known_tree_scores": known_tree_scores,
         # models
         "clv_predictions": _on_fit(*clv_fit, clv.clv_predictions),
         "clv_metrics": _on_fit(*clv_fit, clv.clv_metrics),

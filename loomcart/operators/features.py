@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomcart.functions.scalar import ratio
@@ -21,51 +21,65 @@ def eligible_customers(customers: DataFrame, tenure_days: int, as_of: datetime.d
     return customers.where(F.col("signup_date") <= F.date_sub(latest, tenure_days))
 
 
-def _days_of(star: Star, tenure_days: int, last_day: int) -> DataFrame:
-    """Completed orders of eligible customers by day since signup, with or without items.
+#: The last day after signup that a report asks for, and the days a customer must have been there for each report.
+LAST_DAY = 270
+CLV_TENURE, CHURN_TENURE = 181, 271
+SUMS = ["orders", "valued", "spend", "web"]
 
-    Orders meet their customers and lose the other days before any line is summed.
+
+def customer_history(star: Star, tenure_days: int = CLV_TENURE, last_day: int = LAST_DAY) -> DataFrame:
+    """Eligible customers with completed orders: ``days``, sorted by day since signup, each with the sums up to it.
+
+    Orders meet their customers and lose the other days before any line is summed. They are summed per customer and day
+    first, so a customer with many orders is spread over days and arrives as ``last_day + 1`` rows at most.
     """
     eligible = eligible_customers(star.customers, tenure_days).select("customer_id", "signup_date", *TRAITS)
     orders = completed(star.orders).select("order_id", "customer_id", "order_date", "channel")
     placed = (
         lookup(orders, eligible, "customer_id", spread="order_id", how="inner")
-        .withColumn("day_no", F.datediff("order_date", "signup_date"))
-        .where(F.col("day_no").between(0, last_day))
+        .withColumn("day", F.datediff("order_date", "signup_date"))
+        .where(F.col("day").between(0, last_day))
     )
-    return order_values(placed, star.lines, keep_empty=True, few=True).select(
-        "customer_id",
-        *TRAITS,
-        "day_no",
-        F.lit(1).alias("orders"),
-        F.col("order_value").isNotNull().cast("int").alias("valued"),
-        F.col("order_value").alias("spend"),
-        F.coalesce(F.col("channel") == "Web", F.lit(False)).cast("int").alias("web"),
+    daily = (
+        order_values(placed, star.lines, keep_empty=True, few=True)
+        .groupBy("customer_id", "signup_date", *TRAITS, "day")
+        .agg(
+            F.count(F.lit(1)).alias("orders"),
+            F.count("order_value").alias("valued"),
+            F.coalesce(F.sum("order_value"), F.lit(0)).alias("spend"),
+            F.count_if(F.col("channel") == "Web").alias("web"),
+        )
+    )
+    so_far = Window.partitionBy("customer_id").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    summed = daily.withColumns({c: F.sum(c).over(so_far) for c in SUMS})
+    return summed.groupBy("customer_id").agg(
+        *[F.first(c).alias(c) for c in ("signup_date", *TRAITS)],
+        F.array_sort(F.collect_list(F.struct("day", *SUMS))).alias("days"),
     )
 
 
-def _within(first: int, last: int, column: str) -> Column:
-    return F.sum(F.when(F.col("day_no").between(first, last), F.col(column)))
-
-
-def _count(first: int, last: int, column: str) -> Column:
-    return F.coalesce(_within(first, last, column), F.lit(0))
+def between_days(first: int, last: int, column: str) -> Column:
+    """A sum over the days from ``first`` to ``last`` of a customer's history: what is reached by the one less what was
+    reached before the other."""
 
+    def reached(day: int) -> Column:
+        return F.coalesce(F.try_element_at(F.filter("days", lambda d: d["day"] <= day), F.lit(-1))[column], F.lit(0))
 
-def _spend(first: int, last: int) -> Column:
-    return F.coalesce(_within(first, last, "spend"), F.lit(0)).cast("double")
+    return reached(last) - reached(first - 1) if first > 0 else reached(last)
 
 
-def clv_features(star: Star) -> DataFrame:
+def clv_features(star: Star, history: DataFrame | None = None) -> DataFrame:
     """Days 0-90 as features, spend of days 91-180 as the label; buyers of days 0-90 only.
 
-    A customer whose early orders are all without items gets an average of 0.
+    A customer whose early orders are all without items gets an average of 0. ``history`` is that of ``customer_history``.
     """
-    per_customer = _days_of(star, tenure_days=181, last_day=180).groupBy("customer_id", *TRAITS).agg(
-        _count(0, 90, "orders").alias("orders_first90"),
-        _spend(0, 90).alias("spend_first90"),
-        _count(0, 90, "valued").alias("valued"),
-        _spend(91, 180).alias("spend_next90"),
+    per_customer = (customer_history(star) if history is None else history).select(
+        "customer_id",
+        *TRAITS,
+        between_days(0, 90, "orders").alias("orders_first90"),
+        between_days(0, 90, "spend").cast("double").alias("spend_first90"),
+        between_days(0, 90, "valued").alias("valued"),
+        between_days(91, 180, "spend").cast("double").alias("spend_next90"),
     )
     return per_customer.where("orders_first90 > 0").select(
         "customer_id",
@@ -77,14 +91,20 @@ def clv_features(star: Star) -> DataFrame:
     )
 
 
-def churn_features(star: Star) -> DataFrame:
+def churn_features(star: Star, history: DataFrame | None = None) -> DataFrame:
     """Days 0-180 as features; churned means no order in days 181-270. Active customers only."""
-    per_customer = _days_of(star, tenure_days=271, last_day=270).groupBy("customer_id", *TRAITS).agg(
-        _count(0, 180, "orders").alias("orders_0_180"),
-        _spend(0, 180).alias("spend_0_180"),
-        _count(0, 180, "valued").alias("valued"),
-        _count(0, 180, "web").alias("web"),
-        _count(181, 270, "orders").alias("orders_181_270"),
+    latest = star.customers.agg(F.max("signup_date")).scalar()
+    old_enough = (customer_history(star, CHURN_TENURE) if history is None else history).where(
+        F.col("signup_date") <= F.date_sub(latest, CHURN_TENURE)
+    )
+    per_customer = old_enough.select(
+        "customer_id",
+        *TRAITS,
+        between_days(0, 180, "orders").alias("orders_0_180"),
+        between_days(0, 180, "spend").cast("double").alias("spend_0_180"),
+        between_days(0, 180, "valued").alias("valued"),
+        between_days(0, 180, "web").alias("web"),
+        between_days(181, 270, "orders").alias("orders_181_270"),
     )
     return per_customer.where("orders_0_180 > 0").select(
         "customer_id",

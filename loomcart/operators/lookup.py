@@ -35,8 +35,8 @@ def lookup(
 ) -> DataFrame:
     """Bring the columns of ``dim`` (unique by ``key``) onto every row of ``fact``.
 
-    A dimension within Spark's broadcast threshold needs nothing special: the planner broadcasts it. A larger one is
-    joined by shuffle, and there the rows of a hot key are spread over as many parts as the key fills half partitions,
+    A dimension within Spark's broadcast threshold by the size of what it is read from is broadcast. A larger one is joined
+    by shuffle, and there the rows of a hot key are spread over as many parts as the key fills half partitions,
     by the hash of the fact column ``spread`` (or their place, where it is null), while only the hot dimension rows are
     repeated. Rows with a null key are spread over all partitions.
 
@@ -48,7 +48,7 @@ def lookup(
     spark = fact.sparkSession
     limit = broadcast_limit(spark) if dim_bytes_limit is None else dim_bytes_limit
     if plan_bytes(dim) <= limit:
-        return fact.join(dim, key, how)
+        return fact.join(F.broadcast(dim), key, how)
 
     found = hot_keys(fact if keys_from is None else keys_from, key)
     kind = fact.schema[key].dataType.simpleString()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loomcart.catalog import SIGNUP_SLICE, SLICE
+from loomcart.catalog import KNOWN_FEATURES, KNOWN_TREES, SIGNUP_SLICE, SLICE
 from loomcart.functions.distributions import Z_POWER_80_PERCENT, Z_TWO_SIDED_5_PERCENT
 
 # --- the star schema ---
@@ -335,6 +335,24 @@ _REFERENCES = [
 ]
 
 
+def _value(v: object) -> str:
+    return "NULL" if v is None else f"{v}::DOUBLE[]" if isinstance(v, list) else f"{v!r}::DOUBLE" if isinstance(v, float) else str(v)
+
+
+# Every row walks down every tree of the known model.
+_WALK = f"""nodes(tree, node, feature, threshold, categories, l, r, value) AS (
+  VALUES {", ".join("(" + ", ".join(map(_value, n)) + ")" for n in KNOWN_TREES)}),
+walk AS (
+  SELECT customer_id, [{", ".join(f"CAST({c} AS DOUBLE)" for c in KNOWN_FEATURES)}] AS x, tree, 0 AS node
+  FROM churn, (SELECT DISTINCT tree FROM nodes)
+  UNION ALL
+  SELECT w.customer_id, w.x, w.tree, CASE WHEN w.x[n.feature + 1] <= n.threshold OR list_contains(n.categories, w.x[n.feature + 1])
+                                          THEN n.l ELSE n.r END
+  FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node WHERE n.feature >= 0),
+margins AS (
+  SELECT customer_id, sum(value) AS margin FROM walk JOIN nodes USING (tree, node) WHERE feature < 0 GROUP BY 1)"""
+
+
 def _query(body: str, *steps: str) -> str:
     return "WITH " + ",\n".join([_STAR, *steps]) + "\n" + body
 
@@ -359,6 +377,15 @@ sliced_items AS (SELECT i.* FROM fact_order_items i SEMI JOIN sliced_orders USIN
          CAST(sum(customer_id) AS BIGINT) AS customer_id_sum
   FROM fact_orders GROUP BY 1, 2, 3"""
         ),
+        "csv_checked": _query(
+            """SELECT unnest(['loaded', 'fields', 'order_date: date', 'order_id: missing', 'discount_pct: decimal(5,2)']) AS reason,
+         unnest([good, torn, day, lost, rate]) AS rows, unnest([total, NULL, NULL, NULL, NULL]) AS customer_id_sum
+  FROM (SELECT count(*) FILTER (NOT (d OR t OR k OR r)) AS good, count(*) FILTER (t) AS torn, count(*) FILTER (d AND NOT t) AS day,
+               count(*) FILTER (k AND NOT t) AS lost, count(*) FILTER (r AND NOT t) AS rate,
+               CAST(sum(customer_id) FILTER (NOT (d OR t OR k OR r)) AS BIGINT) AS total
+        FROM (SELECT customer_id, order_id % 101 = 0 AS d, order_id % 103 = 0 AS t, order_id % 107 = 0 AS k, order_id % 109 = 0 AS r
+              FROM fact_orders))"""
+        ),
         "dq_primary_key": _query(" UNION ALL ".join(_pk(*k) for k in _KEYS)),
         "dq_foreign_key": _query(" UNION ALL ".join(_fk(*k) for k in _REFERENCES)),
         "orders_without_items": _query(
@@ -383,6 +410,10 @@ sliced_items AS (SELECT i.* FROM fact_order_items i SEMI JOIN sliced_orders USIN
             "SELECT order_id, customer_id, order_date, CAST(order_value AS DOUBLE) AS order_value FROM completed_values",
             _VALUES,
         ),
+        "stored_order_values": _query(
+            "SELECT order_id, customer_id, order_date, CAST(order_value AS DOUBLE) AS order_value FROM completed_values",
+            _VALUES,
+        ),
         "rfm_raw": _query(f"SELECT {_RFM_COLUMNS}, last_order_date FROM rfm_raw", _RFM),
         "rfm_scores": _query(f"SELECT {_RFM_COLUMNS}, r_score, f_score, m_score FROM rfm_scores", _RFM),
         "rfm_segments": _query(
@@ -405,6 +436,12 @@ sliced_items AS (SELECT i.* FROM fact_order_items i SEMI JOIN sliced_orders USIN
         "cohort_heatmap": _query(
             f"SELECT strftime(cohort, '%Y-%m') AS cohort_month, {heat} FROM activity GROUP BY 1", _COHORT
         ),
+        "active_customers": _query(
+            """SELECT acquisition_channel, count(DISTINCT customer_id) AS active_customers
+  FROM activity JOIN dim_customers USING (customer_id) GROUP BY 1
+  UNION ALL SELECT NULL, count(DISTINCT customer_id) FROM activity""",
+            _COHORT,
+        ),
         "cohort_pct_of_total": _query(
             """SELECT strftime(cohort, '%Y-%m') AS cohort_month, month_index, count(DISTINCT customer_id) AS active_customers,
          round(count(DISTINCT customer_id) / CAST(sum(count(DISTINCT customer_id)) OVER (PARTITION BY cohort) AS DOUBLE), 6)
@@ -413,6 +450,7 @@ sliced_items AS (SELECT i.* FROM fact_order_items i SEMI JOIN sliced_orders USIN
             _COHORT,
         ),
         "revenue_growth": _query("SELECT * FROM growth ORDER BY month", _GROWTH),
+        "rollup_growth": _query("SELECT * FROM growth ORDER BY month", _GROWTH),
         "latest_month": _query(
             "SELECT month, revenue, mom_growth_pct, yoy_growth_pct FROM growth ORDER BY month DESC LIMIT 1", _GROWTH
         ),
@@ -642,6 +680,19 @@ levels AS (SELECT 'channel' AS kind, acquisition_channel AS level, row_number()
             _RFM,
             _SCALED,
         ),
+        "kmeans_step": _query(
+            """SELECT id AS rfm_segment, count(*) AS customers, round(sum(d), 6) AS inertia,
+         round(avg(recency_scaled), 6) + 0.0 AS recency_scaled, round(avg(frequency_scaled), 6) + 0.0 AS frequency_scaled,
+         round(avg(monetary_scaled), 6) + 0.0 AS monetary_scaled
+  FROM (SELECT s.*, c.id, power(s.recency_scaled - c.r, 2) + power(s.frequency_scaled - c.f, 2) + power(s.monetary_scaled - c.m, 2) AS d
+        FROM scaled s, centroids c QUALIFY row_number() OVER (PARTITION BY s.customer_id ORDER BY d, c.id) = 1) GROUP BY 1""",
+            _RFM,
+            _SCALED,
+            _CENTROIDS,
+        ),
+        "known_tree_scores": _query(
+            "SELECT customer_id, margin, round(1 / (1 + exp(-2 * margin)), 9) AS probability FROM margins", _CHURN, _WALK
+        ).replace("WITH ", "WITH RECURSIVE ", 1),
         "kmeans_assign": _query(
             """SELECT s.customer_id, s.rfm_segment,
          arg_min(c.id, (power(s.recency_scaled - c.r, 2) + power(s.frequency_scaled - c.f, 2)

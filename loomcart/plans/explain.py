@@ -1,9 +1,12 @@
 """Shapley attributions of a boosted-tree margin, computed row by row on the executors.
 
 The value of a feature set is the tree's expectation when the features outside
-the set follow the training rows through both children. Per leaf this depends
-only on which of its path features a row satisfies, so the driver prepares one
-small table per leaf (bounded by trees x 2^depth) and a row just looks them up.
+the set follow the training rows through both children. Per leaf this is a
+product with one factor for each feature of its path: 1 or 0 for a known feature
+that passes or fails, the share of training rows that pass for an unknown one.
+The sums over all sets of one size are the coefficients of a polynomial, which is
+extended by one feature after the other and from which each is divided out again,
+so the work grows with the square of the path, not with the number of sets.
 """
 
 from __future__ import annotations
@@ -11,19 +14,16 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomcart.plans.churn import ChurnRun
-from loomcart.session import scratch_path, ship_package
-
-
-MAX_PATH = 12  # features above one leaf
+from loomcart.plans.trees import saved_nodes
+from loomcart.session import ship_package
 
 
 @dataclass(frozen=True)
@@ -37,39 +37,39 @@ class Condition:
 
 @dataclass(frozen=True)
 class Leaf:
+    """A leaf's value and, for each feature of its path, the condition and the share of training rows that pass it."""
+
     features: list[int]
     conditions: list[Condition]
-    table: np.ndarray  # row: bit mask of passed tests; column: contribution of each feature
-    expected: float
-
-
-def saved_nodes(spark: SparkSession, model) -> dict[int, dict[int, object]]:
-    """Nodes per tree from the saved model, whose size depends on the model alone."""
-    path = scratch_path(spark, "model")
-    model.write().save(path)
-    nodes: dict[int, dict[int, object]] = {}
-    for row in spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect():
-        nodes.setdefault(row["treeID"], {})[row["id"]] = row
-    return nodes
-
-
-def _contributions(value: float, passed_if_unknown: list[float]) -> np.ndarray:
-    """Shapley values of the product game for every pass/fail pattern of the path features."""
-    n = len(passed_if_unknown)
-    if n > MAX_PATH:
-        raise ValueError(f"a leaf below {n} features would need a table of 2^{n} rows")
-    table = np.zeros((2**n, n))
-    for mask in range(2**n):
-        known = [float(mask >> j & 1) for j in range(n)]
-        for i in range(n):
-            others = [j for j in range(n) if j != i]
-            total = 0.0
-            for size in range(n):
-                weight = math.factorial(size) * math.factorial(n - 1 - size) / math.factorial(n)
-                for chosen in combinations(others, size):
-                    total += weight * math.prod(known[j] if j in chosen else passed_if_unknown[j] for j in others)
-            table[mask, i] = value * (known[i] - passed_if_unknown[i]) * total
-    return table
+    shares: list[float]
+    value: float
+
+    @property
+    def expected(self) -> float:
+        return self.value * math.prod(self.shares)
+
+
+def contributions(value: float, shares: list[float], passed: np.ndarray) -> np.ndarray:
+    """Shapley values of a leaf's features for every row of ``passed`` (rows x features of 0 and 1)."""
+    n = len(shares)
+    known = passed.astype(float)
+    # Coefficient s: the sum over all sets of s known features of the product of all factors.
+    sums = np.zeros((len(known), n + 1))
+    sums[:, 0] = 1.0
+    for j, share in enumerate(shares):
+        sums[:, 1:] = share * sums[:, 1:] + known[:, j, None] * sums[:, :-1]
+        sums[:, 0] *= share
+    weights = np.array([math.factorial(s) * math.factorial(n - 1 - s) / math.factorial(n) for s in range(n)])
+    out = np.empty((len(known), n))
+    for i, share in enumerate(shares):
+        without = sums[:, :n] / share
+        divided = np.empty_like(without)
+        divided[:, n - 1] = sums[:, n]
+        for s in range(n - 1, 0, -1):
+            divided[:, s - 1] = sums[:, s] - share * divided[:, s]
+        own = np.where(known[:, i, None] > 0, divided, without)
+        out[:, i] = value * (known[:, i] - share) * (own @ weights)
+    return out
 
 
 def _merge(test: Condition | None, split, goes_left: bool) -> Condition:
@@ -90,7 +90,7 @@ def leaves_of(nodes: dict[int, object], tree_weight: float) -> Iterator[Leaf]:
             value = tree_weight * node["prediction"]
             features = sorted(tests)
             share = [odds[f] for f in features]
-            yield Leaf(features, [tests[f] for f in features], _contributions(value, share), value * math.prod(share))
+            yield Leaf(features, [tests[f] for f in features], share, value)
             continue
         feature = node["split"]["featureIndex"]
         for child_id, goes_left in ((node["leftChild"], True), (node["rightChild"], False)):
@@ -110,14 +110,19 @@ def attribute(matrix: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
     for leaf in leaves:
         if not leaf.features:
             continue
-        mask = np.zeros(len(matrix), dtype=np.int64)
-        for bit, (feature, test) in enumerate(zip(leaf.features, leaf.conditions)):
+        passed = np.empty((len(matrix), len(leaf.features)), bool)
+        for i, (feature, test) in enumerate(zip(leaf.features, leaf.conditions)):
             x = matrix[:, feature]
-            passed = (x > test.low) & (x <= test.high)
+            passed[:, i] = (x > test.low) & (x <= test.high)
             if test.allowed is not None:
-                passed &= np.isin(x, list(test.allowed))
-            mask |= passed.astype(np.int64) << bit
-        phi[:, leaf.features] += leaf.table[mask]
+                passed[:, i] &= np.isin(x, list(test.allowed))
+        # Rows that pass the same conditions are worked out once.
+        keys = np.zeros((len(matrix), -(-len(leaf.features) // 64) * 8), np.uint8)
+        packed = np.packbits(passed, axis=1)
+        keys[:, : packed.shape[1]] = packed
+        keys = keys.view(np.uint64)
+        _, first, same = np.unique(keys.ravel() if keys.shape[1] == 1 else keys, axis=0, return_index=True, return_inverse=True)
+        phi[:, leaf.features] += contributions(leaf.value, leaf.shares, passed[first])[same.ravel()]
     return phi
 
 

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomcart.operators import kmeans
 from loomcart.plans.rfm import rfm_segments
 from loomcart.session import materialise
 from loomcart.sources.star import Star
@@ -21,7 +19,6 @@ LABELS = ["VIP / Champions", "Loyal Regulars", "Promising", "At Risk", "Dormant
 K_RANGE = range(2, 9)
 STARTS = 10
 SEED = 42
-PARALLEL_FITS = 8
 MAX_ITERATIONS = 300
 SCALED = ["recency_scaled", "frequency_scaled", "monetary_scaled"]
 
@@ -47,46 +44,39 @@ def scale_rfm(rfm: DataFrame) -> DataFrame:
     )
 
 
-def fit_kmeans(features: DataFrame, k: int, starts: int = STARTS, seed: int = SEED) -> KMeansModel:
-    """The start with the lowest training cost. ``features`` is a persisted vector frame."""
-    return fit_kmeans_range(features, [k], starts, seed)[k]
-
-
 def fit_kmeans_range(
-    features: DataFrame, ks: Sequence[int], starts: int = STARTS, seed: int = SEED
-) -> dict[int, KMeansModel]:
-    """Best of ``starts`` for every k; the fits are independent jobs and run side by side."""
-    jobs = [(k, seed + i) for k in ks for i in range(starts)]
-
-    def fit(job: tuple[int, int]) -> KMeansModel:
-        return KMeans(k=job[0], seed=job[1], maxIter=MAX_ITERATIONS).fit(features)
-
-    with ThreadPool(min(PARALLEL_FITS, len(jobs))) as pool:
-        models = pool.map(inheritable_thread_target(features.sparkSession)(fit), jobs)
-    best: dict[int, KMeansModel] = {}
-    for (k, _), model in zip(jobs, models):
-        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
-            best[k] = model
-    return best
+    points: DataFrame, ks: Sequence[int], starts: int = STARTS, seed: int = SEED
+) -> dict[int, tuple[np.ndarray, float]]:
+    """Centroids and inertia of the best of ``starts`` for every k; all runs share the passes over the points."""
+    return kmeans.fit_many(points, SCALED, ks, starts, seed, MAX_ITERATIONS)
 
 
-def rfm_vectors(star: Star) -> DataFrame:
-    """RFM rows with the scaled vector, written out once for the iterative fits."""
-    scaled = scale_rfm(materialise(rfm_segments(star), "rfm"))
-    return VectorAssembler(inputCols=SCALED, outputCol="features").transform(scaled)
+def scaled_customers(star: Star) -> DataFrame:
+    """RFM rows with their scaled point, written out for what reads them again."""
+    return materialise(scale_rfm(materialise(rfm_segments(star), "rfm")), "points")
 
 
 def kmeans_elbow(star: Star, ks: Sequence[int] = K_RANGE, starts: int = STARTS) -> DataFrame:
     """Inertia of the best start for every k."""
-    features = rfm_vectors(star).select("features").persist()
-    try:
-        models = fit_kmeans_range(features, ks, starts)
-    finally:
-        features.unpersist()
-    rows = [(k, float(model.summary.trainingCost)) for k, model in models.items()]
+    models = fit_kmeans_range(scaled_customers(star).select(*SCALED), ks, starts)
+    rows = [(k, inertia) for k, (_, inertia) in models.items()]
     return star.orders.sparkSession.createDataFrame(rows, "k int, inertia double")
 
 
+def segment_step(star: Star) -> DataFrame:
+    """One K-means step from the means of the rule-based segments: members, inertia and the next centroids."""
+    points = scaled_customers(star)
+    begin = segment_centroids(points).orderBy("rfm_segment").collect()  # a row for each segment
+    names = F.array(*[F.lit(r["rfm_segment"]) for r in begin])
+    step = kmeans.kmeans_step(points, SCALED, np.array([[r[c] for c in SCALED] for r in begin]).reshape(-1, len(SCALED)))
+    return step.select(
+        F.get(names, F.col("cluster").cast("int")).alias("rfm_segment"),
+        F.col("n").alias("customers"),
+        F.round("inertia", 6).alias("inertia"),
+        *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in SCALED],
+    )
+
+
 def cluster_profile(clustered: DataFrame) -> DataFrame:
     """Mean recency, frequency and monetary value (one decimal, half-even) and size per cluster."""
 
@@ -113,18 +103,16 @@ def label_clusters(clustered: DataFrame, k: int, labels: Sequence[str] = LABELS)
 @dataclass(frozen=True)
 class Segmentation:
     customers: DataFrame
-    model: KMeansModel
+    centroids: np.ndarray
 
 
 def segment_customers_by_kmeans(star: Star, k: int = len(LABELS), starts: int = STARTS) -> Segmentation:
-    vectors = rfm_vectors(star)
-    features = vectors.select("features").persist()
-    try:
-        model = fit_kmeans(features, k, starts)
-    finally:
-        features.unpersist()
-    clustered = model.transform(vectors).withColumnRenamed("prediction", "cluster")
-    return Segmentation(label_clusters(clustered, k), model)
+    points = scaled_customers(star)
+    centroids, _ = fit_kmeans_range(points.select(*SCALED), [k], starts).get(k, (np.empty((0, len(SCALED))), 0.0))
+    rows = [(i, *map(float, c)) for i, c in enumerate(centroids)]
+    known = points.sparkSession.createDataFrame(rows, "cluster int, " + ", ".join(f"{c} double" for c in SCALED))
+    clustered = nearest_centroid(points, known, "cluster").withColumnRenamed("nearest", "cluster")
+    return Segmentation(label_clusters(clustered, k), centroids)
 
 
 RFM_COLUMNS = [

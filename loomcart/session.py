@@ -83,8 +83,12 @@ def materialise(df: DataFrame, label: str, compression: str | None = None) -> Da
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate. Joins are over-estimated; a scan counts its files as they are compressed."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """The optimizer's size estimate, but at most the size of what the plan reads, for plans whose rows are those of one of
+    their inputs: the optimizer multiplies the sizes of joined sides. A scan counts its files as they are compressed."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    read = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    return min(int(plan.stats().sizeInBytes()), read)
 
 
 def broadcast_limit(spark: SparkSession) -> int:
