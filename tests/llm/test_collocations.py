@@ -50,9 +50,10 @@ def texts(seed, number):
     return [(r.choice(["en", "fr", None]), "".join(word() + mark() for _ in range(r.randint(0, 60)))) for _ in range(number)]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_against_brute_force(spark, monkeypatch, seed):
-    for name, value in (("CHUNK_BYTES", 3000), ("TILE", 4), ("DENSE_TILES", 3), ("BIN_POSITIONS", 500)):
+@pytest.mark.parametrize(("seed", "broadcast"), [(1, 1 << 20), (1, -1), (2, 300), (2, -1)])
+def test_against_brute_force(spark, monkeypatch, seed, broadcast):
+    settings = (("CHUNK_BYTES", 3000), ("TILE", 4), ("DENSE_TILES", 3), ("BIN_POSITIONS", 500), ("HELD", 200), ("BROADCAST_BYTES", broadcast))
+    for name, value in settings:
         monkeypatch.setattr(collocations, name, value)
     rows = texts(seed, 150) + [("en", None), (None, ""), ("de", ". ,")]
     docs = spark.createDataFrame([(*r, "p", 1) for r in rows], "lang string, text string, phrase string, id int").repartition(3)
