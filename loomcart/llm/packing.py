@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import itertools
 import os
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import cache
@@ -26,6 +27,9 @@ from loomcart.session import materialise, ship_package
 
 END = 0  # the id behind every document
 SPECIAL = "<|endoftext|>"
+#: Characters of white space in a row that the fast reader's expression is spared; it ends with an error at about a million.
+LONG_RUN = 10_000
+_RUN = re.compile(rf"\s{{{LONG_RUN}}}")
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Combinations of three lengths tried for each smallest length.
 TRIPLES = 8
@@ -49,10 +53,10 @@ def encode(text: str, ranks_file: str, json_file: str) -> np.ndarray:
     """The ids that ``tokenizers`` gives for the JSON file without added special tokens, and the end id.
 
     The same vocabulary as ranks is read several times faster by ``tiktoken`` and gives the same ids; texts that hold a
-    special token's string, which only ``tokenizers`` knows, are left to it.
+    special token's string, which only ``tokenizers`` knows, or a very long run of white space are left to it.
     """
     fast, full = _encoders(ranks_file, json_file)
-    if SPECIAL in text:
+    if SPECIAL in text or (len(text) >= LONG_RUN and _RUN.search(text)):
         ids = np.array(full.encode(text, add_special_tokens=False).ids, np.uint32)
     else:
         ids = fast.encode_to_numpy(text, disallowed_special=())
@@ -174,24 +178,25 @@ def pack(
     ship_package(spark)
     kinds = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * keep_ids
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    pieces = materialise(source.mapInArrow(_cut(ranks_file, json_file, window, keep_ids), kinds), "pieces")
+    cut = source.mapInArrow(_cut(ranks_file, json_file, window, keep_ids), kinds)
+    # The written number tells equal rows apart and spreads them.
+    pieces = materialise(cut.withColumn("_row", F.monotonically_increasing_id()), "pieces")
 
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most ``window`` rows
     slots = _slots(plan(histogram, window))
     # Ranks are counted in groups of bounded size, so that a frequent length is not one group.
     groups = 1 + sum(histogram.values()) // GROUP
-    order = ["doc_id", "start", "ids_crc32", "doc_tokens"]
-    grouped = pieces.withColumn("salt", F.pmod(F.xxhash64(*order), F.lit(groups)))
+    grouped = pieces.withColumn("salt", F.pmod(F.xxhash64("_row"), F.lit(groups)))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     sizes = grouped.groupBy("length", "salt").agg(F.count("*").alias("size"))
     bases = sizes.select("length", "salt", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("length", "salt").orderBy(*order)
+    within = Window.partitionBy("length", "salt").orderBy("_row")
     ranked = (
         grouped.withColumn("place", F.row_number().over(within))
         .join(bases, ["length", "salt"])
-        .select(*pieces.columns, (F.col("base") + F.col("place") - 1).alias("rank"))
+        .select(*cut.columns, (F.col("base") + F.col("place") - 1).alias("rank"))
     )
-    where = pieces.columns.index("length")
+    where = cut.columns.index("length")
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -80,3 +80,29 @@ def test_plan_places_every_piece():
             assert got == wanted
             if total == 50_000:
                 assert padding < 0.01 * sum(k * v for k, v in wanted.items())
+
+
+def test_long_runs_equal_the_library(spark):
+    texts = [(i, f"begin {c * 2_000_000} end {c}") for i, c in enumerate(" \n\tx7\u3000")]
+    texts += [(20, " " * 9_999 + "a" + " " * 10_000 + "b"), (21, "ab " * 700_000), (22, " \n" * 500_000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    assert check(packing.pack(docs, RANKS, MODEL).collect(), texts) < 0.05
+
+
+def test_equal_rows_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 100)
+    docs = spark.createDataFrame([(None, "")] * 1000, "doc_id long, text string").repartition(4)
+    seen = []
+    real = packing.Window.partitionBy
+
+    def spied(*names):
+        seen.append(names)
+        return real(*names)
+
+    monkeypatch.setattr(packing.Window, "partitionBy", spied)
+    found = packing.pack(docs, RANKS, MODEL)
+    rows = found.collect()
+    assert sorted((r["sequence_id"], r["offset"]) for r in rows) == [(i // 1024, i % 1024) for i in range(1000)]
+    assert ("length", "salt") in seen
+    salts = spark.range(1000).select(packing.F.pmod(packing.F.xxhash64("id"), packing.F.lit(11)).alias("s")).groupBy("s").count()
+    assert salts.agg({"count": "max"}).first()[0] < 200
