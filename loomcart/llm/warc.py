@@ -3,6 +3,9 @@
 An archive begins with a skippable frame that holds the Zstandard dictionary (magic 0x184D2A5D), followed by one frame
 for each record, so any record can be read alone. Of records with equal payloads that with the smallest page id is a
 response, the others are revisits that refer to it.
+
+A folder of archives has a listing, a table written by Spark with the names of the archives that belong to it. What an
+attempt left behind that failed or came second is not in the listing and is never read.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ DICTIONARY_BYTES = 64 * 1024
 SAMPLE_RECORDS, SAMPLE_BYTES = 1000, 8192
 ARCHIVE_BYTES = 16 << 20
 LEVEL = 3
+LISTING, LISTED = "listing", "archive string, records long, bytes long"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _ID = re.compile(r"<urn:x-page:(null|-?\d+)>")
 
@@ -124,8 +128,9 @@ def write_archives(
 
     Null html is an empty payload; a null url becomes a name made from the id. Equal payloads below ``min_payload``
     bytes are all responses. Rows that repeat the smallest id of a payload are each a response; a null id is larger than
-    any other. Extra columns are ignored; an empty table writes no archive. A task writes under a name of its own and
-    then renames, so a repeated task replaces its archives. ``folder`` must be reachable from all executors.
+    any other. Extra columns are ignored; an empty table writes no archive and an empty listing. Every attempt of a task
+    writes under names of its own, and the listing names those of the attempts that count. ``folder`` must be new and
+    reachable from all executors.
     """
     spark = pages.sparkSession
     ship_package(spark)
@@ -133,20 +138,18 @@ def write_archives(
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
-        task, number, held, size, records = TaskContext.get().partitionId(), 0, [], 0, 0
+        task, number, held, size, records = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}", 0, [], 0, 0
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary))
         store.create_dir(root, recursive=True)
 
         def close() -> pa.RecordBatch:
-            name = f"pages-{task:06d}-{number:05d}.warc.zst"
+            name = f"pages-{task}-{number:05d}.warc.zst"
             info = _record("warcinfo", [("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", date), ("WARC-Filename", name), ("Content-Type", "application/warc-fields")], b"software: loomcart\r\nformat: WARC File Format 1.1\r\n")
-            draft = f"{root}/.{name}.{uuid.uuid4().hex}"
-            with store.open_output_stream(draft) as out:
+            with store.open_output_stream(f"{root}/{name}", compression=None) as out:
                 out.write(struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary)
                 out.write(compressor.compress(info))
                 for frame in held:
                     out.write(frame)
-            store.move(draft, f"{root}/{name}")
             return pa.RecordBatch.from_pydict({"archive": [name], "records": [records], "bytes": [size]})
 
         for batch in batches:
@@ -162,8 +165,13 @@ def write_archives(
             yield close()
 
     decided = _decide(pages, min_payload, page_id, url, html)
-    written = decided.mapInArrow(write, "archive string, records long, bytes long").collect()  # a row for each archive
-    return spark.createDataFrame(written, "archive string, records long, bytes long")
+    decided.mapInArrow(write, LISTED).write.parquet(f"{folder}/{LISTING}")
+    return read_listing(spark, folder)
+
+
+def read_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """``archive, records, bytes`` of the archives that belong to a folder."""
+    return spark.read.schema(LISTED).parquet(f"{folder}/{LISTING}")
 
 
 def read_records(content: bytes) -> Iterator[dict]:
@@ -193,8 +201,9 @@ def _page_of(value: str) -> int | None:
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """Page records of all archives in a folder: ``page_id, url, payload_bytes, payload_digest, record_type, refers_to,
-    payload``; a response's digest is verified, a revisit has no payload."""
+    """Page records of all listed archives of a folder: ``page_id, url, payload_bytes, payload_digest, record_type,
+    refers_to, payload``; a response's digest is verified, a revisit has no payload. A folder without archives gives no
+    row; files that are not listed are not read."""
     ship_package(spark)
     schema = pa.schema(
         [("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
@@ -202,10 +211,13 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     )
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = fs.FileSystem.from_uri(folder)
         for batch in batches:
-            for i in range(batch.num_rows):
+            for name in batch.column(0).to_pylist():
                 out, size = [], 0
-                for record in read_records(batch.column(0)[i].as_py()):
+                with store.open_input_stream(f"{root}/{name}", compression=None) as archive:
+                    content = archive.read()
+                for record in read_records(content):
                     head = record["headers"]
                     if head["WARC-Type"] == "warcinfo":
                         continue
@@ -231,8 +243,8 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
                 if out:
                     yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("content")
-    return files.mapInArrow(
+    listed = read_listing(spark, folder).select("archive")
+    return listed.repartition("archive").mapInArrow(
         read,
         "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary",
     )

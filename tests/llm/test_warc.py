@@ -65,3 +65,14 @@ def test_query(spark):
 def test_empty(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.write_archives(pages, str(tmp_path / "d")).collect() == []
+    assert warc.read_archives(spark, str(tmp_path / "d")).collect() == []
+
+
+def test_stray_archives_are_not_read(spark, tmp_path):
+    folder = tmp_path / "e"
+    before = round_trip(spark, ROWS, str(folder), 0)
+    [first, *_] = sorted(folder.glob("*.warc.zst"))
+    (folder / "pages-000000-000000000000-00000.warc.zst").write_bytes(first.read_bytes())  # of an attempt that came second
+    (folder / "pages-000009-000000000000-00000.warc.zst").write_bytes(b"broken off")
+    got = warc.read_archives(spark, str(folder))
+    assert sorted(((str(r["page_id"]), r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got.collect()), key=str) == before
