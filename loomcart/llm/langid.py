@@ -20,13 +20,12 @@ from pyspark.sql import functions as F
 from loomcart.llm.common import text_chunks
 from loomcart.session import ship_package
 
-#: Bounds of the labelled sample: texts for each language, characters of each text, bytes of each dictionary.
-SAMPLE_TEXTS = 300
-SAMPLE_CHARS = 2000
+#: Bounds of the labelled sample: bytes of a language's dictionary, which holds whole texts, and of the longest text that
+#: is drawn for it.
 DICTIONARY_BYTES = 128 * 1024
+LONGEST_SAMPLED = 4096
 BLOCK_BYTES = 4096
-#: Compression level, and the level for texts of fewer than SHORT_BYTES, where single bytes decide.
-LEVEL, SHORT_LEVEL, SHORT_BYTES = 7, 12, 512
+LEVEL = 12
 #: Bytes of difference that make one language e times as likely as another in the score.
 SCALE = 4.0
 #: The winner must be smaller than the second, and than the text without a dictionary, by this share of its bytes and by
@@ -48,36 +47,39 @@ def prepare(text: str) -> bytes:
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, bytes]:
-    """Raw-content dictionaries by language, from a bounded sample.
+    """Raw-content dictionaries by language, from a bounded sample of whole texts.
 
-    Of each language the ``SAMPLE_TEXTS`` distinct texts with the smallest hashes give ``SAMPLE_CHARS`` characters each,
-    up to ``DICTIONARY_BYTES``. Rows without language or text are left out. An empty table gives no dictionary.
+    Of each language the distinct texts of at most ``LONGEST_SAMPLED`` bytes are taken by rising hash, as many as fit into
+    ``DICTIONARY_BYTES``. Rows without language or text are left out. An empty table gives no dictionary.
     """
     known = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where(
         F.col("lang").isNotNull() & (F.length("text") > 0)
     )
-    hashed = known.select("lang", F.xxhash64("text").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("part"))
+    drawn = known.where(F.octet_length("text") <= LONGEST_SAMPLED).select(
+        "lang", F.xxhash64("text").alias("h"), (F.octet_length("text") + 2).cast("long").alias("bytes"), "text"
+    )
     # Hashes small enough to hold about four times the sample go on, so that no task meets a whole language.
-    sizes_of = hashed.groupBy("lang").agg(F.approx_count_distinct("h").alias("texts"))
+    sizes_of = drawn.groupBy("lang").agg(F.sum("bytes").alias("all_bytes"))
     place = F.col("h") / 2.0**64 + 0.5
-    small = hashed.join(F.broadcast(sizes_of), "lang").where(place * F.col("texts") < 4 * SAMPLE_TEXTS)
+    small = drawn.join(F.broadcast(sizes_of), "lang").where(place * F.col("all_bytes") < 4 * (DICTIONARY_BYTES + LONGEST_SAMPLED))
+    so_far = Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
     first = (
-        small.select("lang", "h")
-        .distinct()
-        .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-        .where(F.col("place") <= SAMPLE_TEXTS)
-    )
+        small.groupBy("lang", "h").agg(F.max("bytes").alias("bytes"))
+        .withColumn("end", F.sum("bytes").over(so_far))
+        .where(F.col("end") <= DICTIONARY_BYTES)
+        .select("lang", "h", "end")
+    )
     rows = (
-        small.join(F.broadcast(first), ["lang", "h"])  # at most SAMPLE_TEXTS rows for each language
-        .groupBy("lang", "place")
-        .agg(F.min("part").alias("part"))
-        .orderBy("lang", "place")
+        small.join(F.broadcast(first), ["lang", "h"])  # rows of DICTIONARY_BYTES for each language
+        .groupBy("lang", "end")
+        .agg(F.min("text").alias("part"))
+        .orderBy("lang", "end")
         .collect()
     )
     found: dict[str, bytearray] = {}
     for row in rows:
         found.setdefault(row["lang"], bytearray()).extend(prepare(row["part"]) + b"\n")
-    return {lang: bytes(content[:DICTIONARY_BYTES]) for lang, content in sorted(found.items())}
+    return {lang: bytes(content) for lang, content in sorted(found.items())}
 
 
 def _compressors(dictionaries: dict[str, bytes], level: int) -> list[zstandard.ZstdCompressor]:
@@ -114,15 +116,13 @@ def decide(langs: list[str], totals: list[int], plain: int | None = None) -> tup
     return langs[order[0]], score, second - best < max(MIN_MARGIN, MARGIN * best)
 
 
-def _judge(texts: list[str | None], langs: list[str], compressors: tuple[list, list]) -> list[tuple[str, float, bool]]:
-    usual, short = compressors
+def _judge(texts: list[str | None], langs: list[str], compressors: list) -> list[tuple[str, float, bool]]:
     out = []
     for value in texts:
         if not langs or value is None or not _LETTER.search(value):
             out.append((UNKNOWN, 0.0, True))
         else:
-            ready = prepare(value)
-            *totals, plain = sizes(ready, short if len(ready) < SHORT_BYTES else usual)
+            *totals, plain = sizes(prepare(value), compressors)
             out.append(decide(langs, totals, plain))
     return out
 
@@ -137,7 +137,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], doc_id: str = "doc
     langs = list(dictionaries)
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressors = _compressors(dictionaries, LEVEL), _compressors(dictionaries, SHORT_LEVEL)
+        compressors = _compressors(dictionaries, LEVEL)
         for table in text_chunks(batches, "text", 4 << 20):
             out = _judge(table["text"].to_pylist(), langs, compressors)
             pred, score, rejected = zip(*out) if out else ((), (), ())
@@ -160,7 +160,7 @@ def accepted(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
     langs = list(dictionaries)
 
     def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressors = _compressors(dictionaries, LEVEL), _compressors(dictionaries, SHORT_LEVEL)
+        compressors = _compressors(dictionaries, LEVEL)
         for table in text_chunks(batches, text, 4 << 20):
             judged = _judge(table[text].to_pylist(), langs, compressors)
             yield from table.filter(pa.array([not rejected for _, _, rejected in judged], pa.bool_())).to_batches()

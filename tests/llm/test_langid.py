@@ -1,6 +1,12 @@
 from __future__ import annotations
 
+import math
 import random
+import zlib
+
+import regex
+import xxhash
+import zstandard
 
 from loomcart.llm import langid
 
@@ -75,3 +81,49 @@ def test_noise_mixed_and_unlearned_texts_are_rejected(spark):
     assert [row["doc_id"] for row in got if not row["rejected"]] == []
     clean = langid.identify(labelled.where("octet_length(text) >= 32"), model).collect()
     assert sum(row["rejected"] for row in clean) < 0.01 * len(clean)
+
+
+def brute(rows):
+    """Dictionaries and predictions in plain Python: (doc_id, held_out, language, score, rejected)."""
+    learned: dict = {}
+    for doc, text, lang in rows:
+        if zlib.crc32(str(doc).encode()) % 3 != 1 and lang is not None and text and len(text.encode()) <= 4096:
+            h = xxhash.xxh64_intdigest(text.encode(), 42)
+            learned.setdefault(lang, {})[h - 2**64 if h >= 2**63 else h] = text
+    model = {}
+    for lang in sorted(learned):
+        content, size = b"", 0
+        for _, text in sorted(learned[lang].items()):
+            size += len(text.encode()) + 2
+            if size > 128 * 1024:
+                break
+            content += b" " + text.lower().encode() + b"\n"
+        model[lang] = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    out = []
+    for doc, text, _ in rows:
+        held = zlib.crc32(str(doc).encode()) % 3 == 1
+        if text is None or not regex.search(r"\p{L}", text):
+            out.append((doc, held, "und", 0.0, True))
+            continue
+        raw = b" " + text.lower().encode()
+        blocks = [raw[i : i + 4096] for i in range(0, len(raw), 4096)]
+        total = {}
+        for lang, shared in model.items():
+            one = zstandard.ZstdCompressor(level=12, dict_data=shared, write_content_size=False, write_checksum=False, write_dict_id=False)
+            total[lang] = sum(len(one.compress(b)) for b in blocks)
+        bare = zstandard.ZstdCompressor(level=12, write_content_size=False, write_checksum=False)
+        (best, lang), (second, _), *_ = sorted((n, lang) for lang, n in total.items())
+        second = min(second, sum(len(bare.compress(b)) for b in blocks))
+        score = 1 / sum(math.exp((best - n) / 4) for n in total.values())
+        out.append((doc, held, lang, round(score, 9), second - best < max(2, 0.02 * best)))
+    return sorted(out)
+
+
+def test_query_equals_plain_python(spark):
+    from loomcart.llm.registry import queries
+
+    for scale in ("sf0.001", "sf0.01"):
+        folder = f"/root/testdata/{scale}"
+        rows = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+        got = queries()["op2_language_id"](spark, folder).collect()
+        assert sorted((r["doc_id"], r["held_out"], r["lang_pred"], round(r["score"], 9), r["rejected"]) for r in got) == brute(rows)
