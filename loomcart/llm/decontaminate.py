@@ -1,8 +1,9 @@
 """Benchmark decontamination by winnowing.
 
 Of every ``window - gram + 1`` consecutive word grams the smallest hash is kept, on both sides by the same rule, so two
-texts that share ``window`` words share a kept hash. Fingerprints are joined, and each hit is extended to the whole
-window and compared word by word. Everything runs in DataFrame functions.
+texts that share ``window`` words share a kept hash. Fingerprints are joined. In documents with a hit every window is one
+narrow row, met by its kept hash and compared word by word with the benchmark's, so the work there grows with words and
+hits, not with their product. Everything runs in DataFrame functions.
 
 The filters that would read a word array twice are written as ``when``: Catalyst would move them below the projection
 and evaluate the array again inside every lambda. ``explode_outer`` is used for the same reason.
@@ -10,7 +11,7 @@ and evaluate the array again inside every lambda. ``explode_outer`` is used for
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomcart.llm.common import ascii_lower, if_small
@@ -119,68 +120,62 @@ def decontaminate(
     none = F.array().cast("array<bigint>")
     # The null mark that every document gets carries its row through the join.
     marks = F.array_append(F.array_distinct(F.concat(none, *[F.coalesce(k, none) for k in kept])), F.lit(None))
-    found = if_small(windows.select("mark").distinct().withColumn("known", F.lit(True)), size, broadcast_bytes)
+    found = if_small(windows.select(F.col("mark").alias("met")).distinct().withColumn("known", F.lit(True)), size, broadcast_bytes)
+    # Rows without a mark go anywhere, not to one key.
     scanned = (
         marked.select("doc_id", "digest", "n_words", F.explode_outer(marks).alias("mark"))
-        .join(found, "mark", "left")
+        .withColumn("met", F.coalesce("mark", F.xxhash64(F.monotonically_increasing_id())))
+        .join(found, "met", "left")
         .where(F.col("known") | F.col("mark").isNull())
         .groupBy("doc_id", "digest", "n_words")
         .agg(F.count_if(F.col("mark").isNull()).alias("copies"), F.collect_set("mark").alias("marks"))
     )
     scanned = materialise(scanned, "fingerprints")
 
-    hit = scanned.where(F.size("marks") > 0).select("doc_id", "digest", "marks").alias("s")
+    hit = scanned.where(F.size("marks") > 0).select("doc_id", "digest").alias("s")
     suspects = (
         keyed.alias("k")
         .join(hit, F.col("k.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("k.digest") == F.col("s.digest")))
-        .select("k.doc_id", "k.digest", words_of(F.col("k.text")).alias("words"), "s.marks")
+        .select("k.doc_id", "k.digest", words_of(F.col("k.text")).alias("words"))
         .select("*", _hashes("words").alias("h"))
         .select("*", _gram_hashes("h", gram).alias("g"))
-        .select("doc_id", "digest", "words", "h", "g", F.explode_outer("marks").alias("mark"))
-        .join(if_small(windows, size, broadcast_bytes), "mark")
     )
-    starts = F.when(
-        F.size("words") >= F.col("length"), F.sequence(F.lit(0), F.size("words") - F.col("length"))
-    ).otherwise(F.array().cast("array<int>"))
-    near = F.filter(
-        starts,
-        lambda s: F.when(F.col("place").isNotNull(), F.get("g", s + F.col("place")) == F.col("mark")).otherwise(
-            F.get("h", s) == F.col("first")
-        ),
-    )
-    exact = F.filter(
-        "near", lambda s: F.array_join(F.slice("words", s + 1, F.col("length")), " ") == F.col("phrase")
+    # The mark of every run of each length that a window may have, with its first word's place.
+    runs = [(window, _smallest("g", window - gram + 1))] if window in lengths else []
+    runs += [(n, _gram_hashes("h", n)) for n in sorted(lengths) if n < window]
+    no_run = F.array().cast("array<struct<start:int,length:int,mark:bigint>>")
+
+    def numbered(length: int, hashed: Column) -> Column:
+        at = F.transform(hashed, lambda m, i: F.struct(i.cast("int").alias("start"), F.lit(length).alias("length"), m.alias("mark")))
+        return F.coalesce(at, no_run)
+
+    starts = [numbered(*run) for run in runs]
+    # A shuffle join meets windows by their words as well, so that a passage known to many is spread.
+    opened = suspects.select("doc_id", "digest", "words", F.explode(F.concat(no_run, *starts)).alias("r")).select(
+        "doc_id", "digest", "r.start", "r.length", "r.mark", F.array_join(F.slice("words", F.col("r.start") + 1, F.col("r.length")), " ").alias("phrase")
     )
-    covered = F.transform("starts", lambda s: F.struct(s.alias("start"), (s + F.col("length")).alias("stop")))
-    merged = F.aggregate(
-        "spans",
-        F.array().cast("array<struct<start:int,stop:int>>"),
-        lambda out, x: F.when(
-            (F.size(out) > 0) & (x["start"] <= F.get(out, F.size(out) - 1)["stop"]),
-            F.concat(
-                F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0))),
-                F.array(
-                    F.struct(
-                        F.get(out, F.size(out) - 1)["start"].alias("start"),
-                        F.greatest(F.get(out, F.size(out) - 1)["stop"], x["stop"]).alias("stop"),
-                    )
-                ),
-            ),
-        ).otherwise(F.array_append(out, x)),
-    )
-    hits = (
-        suspects.select("doc_id", "digest", "words", "length", "phrase", "items", near.alias("near"))
-        .select("doc_id", "digest", "length", "items", exact.alias("starts"))
-        .select("doc_id", "digest", "items", covered.alias("spans"))
-        .where(F.size("spans") > 0)
-        .groupBy("doc_id", "digest")
-        .agg(
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-        )
-        .select("doc_id", "digest", merged.alias("spans"), "items")
-        .alias("h")
+    known = if_small(windows.select("mark", "length", "phrase", "items"), size, broadcast_bytes)
+    matched = opened.join(known, ["mark", "length", "phrase"]).select(
+        "doc_id", "digest", "start", (F.col("start") + F.col("length")).alias("stop"), "items"
     )
+    matched = materialise(matched, "benchmark-hits")
+    before = Window.partitionBy("doc_id", "digest").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy("doc_id", "digest").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, 0)
+    apart = (F.col("start") > F.coalesce(F.max("stop").over(before), F.lit(-1))).cast("int")
+    spans = (
+        matched.select("doc_id", "digest", "start", "stop").distinct()
+        .withColumn("_apart", apart)
+        .withColumn("_span", F.sum("_apart").over(so_far))
+        .groupBy("doc_id", "digest", "_span").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+        .groupBy("doc_id", "digest").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+    )
+    # A window without a listed item still marks its document.
+    named = (
+        matched.select("doc_id", "digest", F.explode_outer("items").alias("item")).distinct()
+        .groupBy("doc_id", "digest").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    )
+    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.digest") == F.col("b.digest"))
+    hits = spans.alias("a").join(named.alias("b"), same).select("a.doc_id", "a.digest", "spans", "items").alias("h")
     both = (
         scanned.alias("d")
         .join(hits, F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d.digest") == F.col("h.digest")), "left")

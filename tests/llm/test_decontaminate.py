@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,3 +72,23 @@ def test_empty_tables(spark, name):
     b = spark.createDataFrame([(1, "a b")], "item_id long, text string").where(F.lit(name != "items"))
     got = decontaminate(d, b).collect()
     assert [(r["n_words"], r["n_hit"]) for r in got] == ([(2, 0)] if name == "items" else [])
+
+
+def test_work_grows_with_words_and_hits(spark):
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").collect()]
+    docs = [(1, " ".join(t for _, t in items) * 4), (2, "no hit at all"), (3, items[0][1])]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    start = time.perf_counter()
+    got = {r["doc_id"]: r for r in decontaminate(d, b).collect()}
+    assert time.perf_counter() - start < 30
+    assert got[1]["n_items"] == len(items) and not got[2]["contaminated"] and got[3]["n_hit"] == got[3]["n_words"]
+    assert len(got[1]["spans"]) < 10
+
+
+def test_rows_without_marks_go_to_many_keys(spark):
+    rows = [(None, "")] * 3000 + [(i, f"word{i} word{i + 1} common words of all the items here and more") for i in range(300)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    b = spark.createDataFrame([(1, "common words of all the items here and more words"), (2, "of all the")], "item_id long, text string")
+    got = decontaminate(d, b, broadcast_bytes=-1).collect()
+    assert len(got) == 3300 and sum(r["contaminated"] for r in got) == 300
