@@ -6,9 +6,10 @@ falls below the chosen miss probability; survivors are verified on their full se
 
 Pairs are never listed within a whole band bucket. First every node of a bucket meets the bucket's most central node,
 the one with the smallest share of shingles that no other candidate has. Connected nodes then need no comparison. Where
-a bucket still holds several components, a task compares the nodes outside its largest one with the nodes of other
-components, where the exact bound from their own shingles allows a link at all, and returns links alone. Large buckets
-are dealt out over a grid of blocks of nodes.
+a bucket still holds several components, tasks compare the nodes outside its largest one with the nodes of other
+components. Large buckets are dealt out over a grid of blocks of nodes. Over the whole grid go ids, counts and signatures
+only: they tell which nodes still have a partner under the exact bound from their own shingles and the Bayesian one. The
+texts of those nodes follow, and their tasks return links alone.
 """
 
 from __future__ import annotations
@@ -255,17 +256,60 @@ def _links(pairs: DataFrame, pool: DataFrame, percent: int, miss: float, label:
     return materialise(dealt.mapInArrow(_verified(percent), "a long, b long, linked boolean"), f"{label}-verified")
 
 
-_CROSS = ["band", "one", "two", "block", "node", "component", "top", "n", "own", "rows", "keys", "sig", "packed"]
+_CELL = ["band", "one", "two"]
+_NARROW = [*_CELL, "block", "node", "component", "top", "n", "own", "rows", "keys", "sig"]
+_CROSS = [*_NARROW, "packed"]
+_SCREENED = ", ".join(f"{c} long" for c in _NARROW[:-2]) + ", keys array<long>, sig binary"
+
+
+def _cells(batches: Iterable[pa.RecordBatch], names: list[str]) -> Iterator[tuple[int, bool, list[dict]]]:
+    """Band, whether the cell lies between two blocks, and members of every cell; rows come sorted by cell."""
+    rows = ({name: b.column(j)[i].as_py() for j, name in enumerate(names)} for b in batches for i in range(b.num_rows))
+    for (band, one, two), group in itertools.groupby(rows, key=lambda r: (r["band"], r["one"], r["two"])):
+        yield band, one != two, list(group)
+
+
+def _partners(members: list[dict], band: int, between: bool, percent: int, miss: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of members with those of all their possible partners in other components; a pair that shares several buckets
+    counts in the first."""
+    node, component, n, own, rows, block = (np.array([m[c] for m in members]) for c in ("node", "component", "n", "own", "rows", "block"))
+    sig = np.frombuffer(b"".join(m["sig"] for m in members), np.uint8).reshape(-1, KEPT)
+    outside = component != members[0]["top"]
+    keys = [set(m["keys"]) for m in members]
+    for i in np.flatnonzero(outside):
+        most = np.minimum(n[i] - own[i], n - own)
+        fits = (100 * most >= percent * (n[i] + n - most)) | (rows[i] > 1) | (rows > 1)
+        fits &= (component != component[i]) & (~outside | (node > node[i]))
+        if between:
+            fits &= block != block[i]
+        others = np.flatnonzero(fits)
+        others = others[survivors(np.broadcast_to(sig[i], (len(others), KEPT)), sig[others], percent / 100, miss)]
+        others = others[[min(keys[i] & keys[j]) == band for j in others]] if len(others) else others
+        if len(others):
+            yield int(i), others
+
+
+def _screened(percent: int, miss: float):
+    """Members of each cell that have a possible partner in it."""
+
+    def screen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([(c, pa.int64()) for c in _NARROW[:-2]] + [("keys", pa.list_(pa.int64())), ("sig", pa.binary())])
+        for band, between, members in _cells(batches, _NARROW):
+            met: set[int] = set()
+            for i, others in _partners(members, band, between, percent, miss):
+                met |= {i, *others.tolist()}
+            if met:
+                yield pa.RecordBatch.from_pylist([members[i] for i in sorted(met)], schema=schema)
+
+    return screen
 
 
 def _crossed(percent: int, miss: float):
-    """Links between components inside the cells of buckets; rows come sorted by cell."""
+    """Links between components inside the cells of buckets."""
 
     def cross(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ({name: b.column(j)[i].as_py() for j, name in enumerate(_CROSS)} for b in batches for i in range(b.num_rows))
-        for (band, one, two), group in itertools.groupby(rows, key=lambda r: (r["band"], r["one"], r["two"])):
-            members = list(group)
-            links = list(_cell_links(members, band, one != two, percent, miss))
+        for band, between, members in _cells(batches, _CROSS):
+            links = list(_cell_links(members, band, between, percent, miss))
             yield pa.RecordBatch.from_pydict(
                 {"a": [a for a, _ in links], "b": [b for _, b in links]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())])
             )
@@ -274,11 +318,8 @@ def _crossed(percent: int, miss: float):
 
 
 def _cell_links(members: list[dict], band: int, between: bool, percent: int, miss: float) -> Iterator[tuple[int, int]]:
-    """Pairs of a cell that are linked and not yet connected; a pair that shares several buckets counts in the first."""
-    node, component, n, own, rows, block = (np.array([m[c] for m in members]) for c in ("node", "component", "n", "own", "rows", "block"))
-    sig = np.frombuffer(b"".join(m["sig"] for m in members), np.uint8).reshape(-1, KEPT)
-    outside = component != members[0]["top"]
-    label = component.copy()
+    """Pairs of a cell that are linked and not yet connected."""
+    label = np.array([m["component"] for m in members])
     sets: dict[int, np.ndarray] = {}
 
     def full(i: int) -> np.ndarray:
@@ -286,22 +327,16 @@ def _cell_links(members: list[dict], band: int, between: bool, percent: int, mis
             sets[i] = shingles(zstandard.decompress(members[i]["packed"]))
         return sets[i]
 
-    for i in np.flatnonzero(outside):
-        most = np.minimum(n[i] - own[i], n - own)
-        fits = (100 * most >= percent * (n[i] + n - most)) | (rows[i] > 1) | (rows > 1)
-        fits &= (component != component[i]) & (~outside | (node > node[i]))
-        if between:
-            fits &= block != block[i]
-        others = np.flatnonzero(fits)
-        others = others[survivors(np.broadcast_to(sig[i], (len(others), KEPT)), sig[others], percent / 100, miss)]
+    for i, others in _partners(members, band, between, percent, miss):
         for j in others:
-            if label[i] == label[j] or min(set(members[i]["keys"]) & set(members[j]["keys"])) != band:
+            if label[i] == label[j]:
                 continue
             a, b = full(i), full(j)
             common = len(np.intersect1d(a, b, assume_unique=True))
             if 100 * common >= percent * (len(a) + len(b) - common):
                 label[label == label[j]] = label[i]
-                yield int(min(node[i], node[j])), int(max(node[i], node[j]))
+                nodes = members[i]["node"], members[j]["node"]
+                yield min(nodes), max(nodes)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -413,10 +448,13 @@ def near_duplicates(
     cells = F.explode(F.transform(every, lambda b: F.struct(F.least("block", b).alias("one"), F.greatest("block", b).alias("two"))))
     grid = (
         mixed.select("*", cells.alias("cell")).select("*", "cell.one", "cell.two")
-        .join(keys, "node").join(pool.select("node", "sig", "packed"), "node").select(_CROSS)
+        .join(keys, "node").join(pool.select("node", "sig"), "node").select(_NARROW)
     )
+    screened = grid.repartition(*_CELL).sortWithinPartitions(*_CELL).mapInArrow(_screened(percent, miss), _SCREENED)
+    screened = materialise(screened, "screened")
     crossed = (
-        grid.repartition("band", "one", "two").sortWithinPartitions("band", "one", "two")
+        screened.join(pool.select("node", "sig", "packed"), ["node", "sig"]).select(_CROSS)
+        .repartition(*_CELL).sortWithinPartitions(*_CELL)
         .mapInArrow(_crossed(percent, miss), "a long, b long")
     )
     second = materialise(crossed, "crossed")

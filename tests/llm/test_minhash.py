@@ -126,3 +126,33 @@ def test_links_at_a_lower_threshold(spark):
     got = sorted(tuple(r) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=60).collect())
     assert got == brute(rows, 60)
     assert sum(kept for *_, kept in got) == 60
+
+
+def test_the_grid_carries_no_texts(spark, monkeypatch):
+    """Texts of one template at similarity 0.80, none linked at 85: blocks meet by ids and signatures only."""
+    monkeypatch.setattr(minhash, "BLOCK", 100)
+    grids, texts = [], []
+    real = minhash.materialise
+
+    def spied(df, label, **kw):
+        out = real(df, label, **kw)
+        if label == "screened":
+            grids.append("packed" in df.columns)
+            texts.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "materialise", spied)
+    template = [f"t{i}" for i in range(180)]
+    rows = [(i, " ".join(template + [f"own{i}x{j}" for j in range(20)])) for i in range(500)]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r["doc_id"] for r in got if r["kept"]) == list(range(500))
+    assert grids == [False] and texts == [0]
+
+
+@pytest.mark.parametrize("block", [4096, 30])
+def test_components_at_80(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "CROWD", 4)
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rows = corpus(7, 4, 120)
+    got = sorted(tuple(r) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=80).collect())
+    assert got == brute(rows, 80)
