@@ -62,13 +62,10 @@ def count_tokens(
     content = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).select(
         "doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), F.octet_length("text").cast("long").alias("n_bytes"), "text"
     )
-    # One row stands for all that share a content; its text alone is shuffled to be encoded.
-    first = content.groupBy("digest").agg(F.count("*").alias("rows"), F.min("doc_id").alias("doc_id")).drop("rows")
-    missing = first.join(read_cache(docs, cache, version), "digest", "left_anti").alias("m")
-    misses = content.alias("c").join(
-        missing, F.col("c.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("c.digest") == F.col("m.digest"))
-    )
-    counted = misses.select("c.digest", "c.text").mapInArrow(_encoder(model), "digest binary, n_tokens long")
+    # Rows of one content meet within each task first, so a content that fills the table is one row of each task.
+    distinct = content.groupBy("digest").agg(F.first("text").alias("text"))
+    missing = distinct.join(read_cache(docs, cache, version), "digest", "left_anti").select("digest", "text")
+    counted = missing.mapInArrow(_encoder(model), "digest binary, n_tokens long")
     counted.write.mode("append").parquet(f"{cache}/version={version}")
     counts = read_cache(docs, cache, version)
     return (

@@ -34,3 +34,14 @@ def test_only_misses_are_encoded(spark, tmp_path):
     tokencount.count_tokens(second, cache, MODEL).collect()
     assert spark.read.parquet(f"{cache}/version={version}").select("digest").distinct().count() == 4
     assert tokencount.count_tokens(first.limit(0), cache, MODEL).collect() == []
+
+
+def test_repeated_rows_are_encoded_once(spark, tmp_path):
+    cache = str(tmp_path / "cache")
+    rows = [(7, "one text under one id")] * 2000 + [(None, "")] * 500 + [(i, "text of many") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert tokencount.count_tokens(docs, cache, MODEL).count() == 2800
+    stored = spark.read.parquet(f"{cache}/version={tokencount.tokenizer_version(MODEL)}")
+    assert stored.count() == stored.select("digest").distinct().count() == 3
+    assert tokencount.count_tokens(docs, cache, MODEL).count() == 2800
+    assert spark.read.parquet(f"{cache}/version={tokencount.tokenizer_version(MODEL)}").count() == 3
