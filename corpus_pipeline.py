@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from loomcart.llm import decontaminate, langid, minhash, packing, suffixarray
 from loomcart.llm.registry import tokenizer_file
-from loomcart.session import materialise
+from loomcart.session import discard, materialise
+
+NEAR_PERCENT = 80  # of the five-word shingles of two documents together
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +26,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     # The copy lies on disk until the application ends, next to what later stages write.
     numbered = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered", compression="zstd")
-    found = minhash.near_duplicates(numbered, doc_id="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    found = minhash.near_duplicates(numbered, NEAR_PERCENT, doc_id="_row").select(F.col("doc_id").alias("_row"), "component_id")
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").cast("long").alias("doc_id"), "_row")
     first = numbered.select("_row", "doc_id").join(found, "_row").groupBy("component_id").agg(F.min(order).alias("first"))
     return numbered.join(first.select("first._row"), "_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
@@ -65,7 +67,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder, the last one unwritten."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), name)
+        if written is not None:
+            discard(written)
+        written = docs
     return STAGES[-1][1](spark, docs, sf_dir)
