@@ -40,7 +40,7 @@ def test_stages(spark):
             want = [r for r in given if r[0] not in rejected]
             assert len(want) > 0.97 * len(given)
         elif name == "near_duplicates":
-            alone = {d for d, _, _, kept in components([(r[0], r[1]) for r in given], 85) if kept}
+            alone = {d for d, _, _, kept in components([(r[0], r[1]) for r in given], 80) if kept}
             want = [r for r in given if r[0] in alone]
             assert len(want) < len(given)
         elif name == "suffix_array":
