@@ -132,22 +132,30 @@ def rollup_growth(spark: SparkSession, folder: str) -> DataFrame:
 #: A known model of three trees over ``KNOWN_FEATURES``: tree, node, feature, threshold, categories, left, right, value.
 KNOWN_FEATURES = ["age", "orders_0_180", "spend_0_180", "avg_order_value", "channel_web_share"]
 KNOWN_TREES = [
-    (0, 0, 1, 2.5, None, 1, 2, None),
-    (0, 1, 4, 0.5, None, 3, 4, None),
-    (0, 2, -1, None, None, None, None, -0.5),
-    (0, 3, -1, None, None, None, None, 0.75),
-    (0, 4, -1, None, None, None, None, 0.25),
-    (1, 0, 2, 250000.0, None, 1, 2, None),
-    (1, 1, -1, None, None, None, None, 0.125),
-    (1, 2, 0, 40.0, None, 3, 4, None),
-    (1, 3, -1, None, None, None, None, -0.25),
-    (1, 4, -1, None, None, None, None, -0.375),
-    (2, 0, 0, None, [19.0, 25.0, 33.0, 60.0], 1, 2, None),
-    (2, 1, -1, None, None, None, None, 0.0625),
-    (2, 2, -1, None, None, None, None, -0.0625),
+    (0, 0, 1, 2.5, None, 1, 2, None, 64.0, 0.25),
+    (0, 1, 4, 0.5, None, 3, 4, None, 40.0, 0.125),
+    (0, 2, -1, None, None, None, None, -0.5, 24.0, None),
+    (0, 3, -1, None, None, None, None, 0.75, 16.0, None),
+    (0, 4, -1, None, None, None, None, 0.25, 24.0, None),
+    (1, 0, 2, 250000.0, None, 1, 2, None, 64.0, 0.0625),
+    (1, 1, -1, None, None, None, None, 0.125, 32.0, None),
+    (1, 2, 0, 40.0, None, 3, 4, None, 32.0, 0.5),
+    (1, 3, -1, None, None, None, None, -0.25, 20.0, None),
+    (1, 4, -1, None, None, None, None, -0.375, 12.0, None),
+    (2, 0, 0, None, [19.0, 25.0, 33.0, 60.0], 1, 2, None, 64.0, 0.03125),
+    (2, 1, -1, None, None, None, None, 0.0625, 10.0, None),
+    (2, 2, -1, None, None, None, None, -0.0625, 54.0, None),
 ]
 
 
+def known_tree_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """Importances of the known model, next to each feature's mean over the active customers."""
+    shares = trees.importance(trees.tree_rows(spark, KNOWN_TREES), KNOWN_FEATURES).select("feature", F.round("importance", 9).alias("importance"))
+    rows = features.churn_features(_star(spark, folder)).agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in KNOWN_FEATURES])
+    means = rows.select(F.explode(F.create_map(*[x for c in KNOWN_FEATURES for x in (F.lit(c), F.round(c, 6))])).alias("feature", "mean"))
+    return shares.join(means, "feature").orderBy(F.desc("importance"), "feature")
+
+
 def known_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Margins and probabilities of the known model for every active customer."""
     rows = churn.churn_split(_star(spark, folder))
@@ -347,6 +355,7 @@ def queries() -> dict[str, Query]:
         "known_churn_averages": _on_star(lambda s: churn.churn_report_averages(_known_churn(s))),
         "known_churn_top100": _on_star(lambda s: churn.churn_risk_top(_known_churn(s))),
         "known_tree_scores": known_tree_scores,
+        "known_tree_importance": known_tree_importance,
         # models
         "clv_predictions": _on_fit(*clv_fit, clv.clv_predictions),
         "clv_metrics": _on_fit(*clv_fit, clv.clv_metrics),

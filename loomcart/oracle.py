@@ -340,8 +340,10 @@ def _value(v: object) -> str:
 
 
 # Every row walks down every tree of the known model.
-_WALK = f"""nodes(tree, node, feature, threshold, categories, l, r, value) AS (
-  VALUES {", ".join("(" + ", ".join(map(_value, n)) + ")" for n in KNOWN_TREES)}),
+_NODES = f"""nodes(tree, node, feature, threshold, categories, l, r, value, met, gain) AS (
+  VALUES {", ".join("(" + ", ".join(map(_value, n)) + ")" for n in KNOWN_TREES)})"""
+
+_WALK = f"""{_NODES},
 walk AS (
   SELECT customer_id, [{", ".join(f"CAST({c} AS DOUBLE)" for c in KNOWN_FEATURES)}] AS x, tree, 0 AS node
   FROM churn, (SELECT DISTINCT tree FROM nodes)
@@ -693,6 +695,15 @@ levels AS (SELECT 'channel' AS kind, acquisition_channel AS level, row_number()
         "known_tree_scores": _query(
             "SELECT customer_id, margin, round(1 / (1 + exp(-2 * margin)), 9) AS probability FROM margins", _CHURN, _WALK
         ).replace("WITH ", "WITH RECURSIVE ", 1),
+        "known_tree_importance": _query(
+            f"""SELECT feature, round(coalesce(gained, 0) / total, 9) AS importance, mean FROM (
+    SELECT unnest({KNOWN_FEATURES}) AS feature, unnest(range({len(KNOWN_FEATURES)})) AS number,
+           unnest([{", ".join(f"round(avg({c}::DOUBLE), 6)" for c in KNOWN_FEATURES)}]) AS mean FROM churn)
+  LEFT JOIN (SELECT feature AS number, sum(gain * met) AS gained FROM nodes WHERE feature >= 0 GROUP BY 1) USING (number),
+  (SELECT sum(gain * met) AS total FROM nodes WHERE feature >= 0)""",
+            _CHURN,
+            _NODES,
+        ),
         "kmeans_assign": _query(
             """SELECT s.customer_id, s.rfm_segment,
          arg_min(c.id, (power(s.recency_scaled - c.r, 2) + power(s.frequency_scaled - c.f, 2)

@@ -43,6 +43,14 @@ def ab_readout(star: Star) -> DataFrame:
     )
 
 
+def _variance(n: Column, total: Column, squares: Column) -> Column:
+    """Sample variance from a count and decimal sums. The difference of the large numbers is taken in decimals, which hold
+    10^10 values and sums of 10^16; beyond that in doubles."""
+    exact = n.try_cast("decimal(10,0)") * squares.try_cast("decimal(28,4)") - total.try_cast("decimal(18,2)") * total.try_cast("decimal(18,2)")
+    doubles = n * squares.cast("double") - total.cast("double") * total.cast("double")
+    return ratio(ratio(F.coalesce(exact.cast("double"), doubles), n), n - 1)
+
+
 def group_moments(star: Star) -> DataFrame:
     """Everything the tests need, one row per customer group.
 
@@ -72,14 +80,12 @@ def group_moments(star: Star) -> DataFrame:
             ratio(F.sum(spent), F.count("customer_id")).alias("spend_mean"),
             F.var_samp(spent.cast("double")).alias("spend_var"),
             F.coalesce(F.sum("valued"), F.lit(0)).alias("orders"),
-            F.sum("spent").cast("double").alias("order_sum"),
-            F.sum("squares").cast("double").alias("order_squares"),
+            F.sum("spent").alias("order_sum"),
+            F.sum("squares").alias("order_squares"),
         )
         .withColumn("order_mean", ratio(F.col("order_sum"), F.col("orders")))
-        .withColumn(
-            "order_var",
-            ratio(F.col("order_squares") - F.col("order_sum") * F.col("order_mean"), F.col("orders") - 1),
-        )
+        .withColumn("order_var", _variance(F.col("orders"), F.col("order_sum"), F.col("order_squares")))
+        .drop("order_sum", "order_squares")
         .withColumn("rate", ratio(F.col("converted"), F.col("customers")))
     )
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from loomcart.operators.encode import fit_encoder
 from loomcart.operators.features import clv_features
 from loomcart.operators.split import fit_rows, random_split
+from loomcart.plans import trees
 from loomcart.session import materialise
 from loomcart.sources.sinks import metrics_frame
 from loomcart.sources.star import Star
@@ -72,10 +73,5 @@ def clv_metrics(run: ClvRun) -> DataFrame:
 
 
 def clv_importance(run: ClvRun, top: int = 10) -> DataFrame:
-    weights = run.model.featureImportances
-    rows = [(name, float(weights[i])) for i, name in enumerate(run.names)]
-    return (
-        run.scored.sparkSession.createDataFrame(rows, "feature string, importance double")
-        .orderBy(F.desc("importance"), "feature")
-        .limit(top)
-    )
+    shares = trees.importance(trees.node_table(run.scored.sparkSession, run.model), run.names)
+    return shares.orderBy(F.desc("importance"), "feature").limit(top)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from loomcart.session import scratch_path
 
 #: A node of tree ``tree``: rows whose feature is at most ``threshold``, or one of ``categories``, go to ``left``. Leaves
-#: have feature -1 and a value, the tree's weight included. Nodes count from 0, the root, in every tree.
-NODES = "tree int, node int, feature int, threshold double, categories array<double>, left int, right int, value double"
+#: have feature -1 and a value, the tree's weight included. ``rows`` is the (weighted) number of training rows that met the
+#: node, ``gain`` what the split took off their impurity. Nodes count from 0, the root, in every tree.
+NODES = (
+    "tree int, node int, feature int, threshold double, categories array<double>, left int, right int, value double, "
+    "rows double, gain double"
+)
 
 
 def saved_nodes(spark: SparkSession, model) -> dict[int, dict[int, object]]:
@@ -31,14 +35,14 @@ def node_table(spark: SparkSession, model) -> DataFrame:
         place = {id_: i for i, id_ in enumerate(sorted(nodes))}
         for id_, node in sorted(nodes.items()):
             if node["leftChild"] < 0:
-                out.append((tree, place[id_], -1, None, None, None, None, model.treeWeights[tree] * node["prediction"]))
+                out.append((tree, place[id_], -1, None, None, None, None, model.treeWeights[tree] * node["prediction"], float(node["impurityStats"][0]), None))
                 continue
             split = node["split"]
             values = [float(v) for v in split["leftCategoriesOrThreshold"]]
             by_value = split["numCategories"] < 0
             out.append(
                 (tree, place[id_], split["featureIndex"], values[0] if by_value else None, None if by_value else values,
-                 place[node["leftChild"]], place[node["rightChild"]], None)
+                 place[node["leftChild"]], place[node["rightChild"]], None, float(node["impurityStats"][0]), float(node["gain"]))
             )
     return spark.createDataFrame(out, NODES)
 
@@ -70,6 +74,16 @@ def with_margin(rows: DataFrame, nodes: DataFrame, x: Column, name: str = "margi
     return rows.withColumns({"_x": x, "_trees": model}).withColumn(name, total).drop("_x", "_trees")
 
 
+def importance(nodes: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``feature, importance``: each named feature's share of all gains, weighted by the rows that met the splits; 0 for one
+    without a split."""
+    known = nodes.sparkSession.createDataFrame(list(enumerate(names)), "_number int, feature string")
+    gained = nodes.where("feature >= 0").groupBy(F.col("feature").alias("_number")).agg(F.sum(F.col("gain") * F.col("rows")).alias("_gained"))
+    total = gained.agg(F.sum("_gained")).scalar()
+    share = F.coalesce(F.try_divide(F.col("_gained"), total), F.lit(0.0))
+    return known.join(gained, "_number", "left").select("feature", share.alias("importance"))
+
+
 def probability(margin: Column) -> Column:
     """Of the positive class, for trees boosted on the logistic loss of twice the margin."""
     return 1 / (1 + F.exp(-2 * margin))

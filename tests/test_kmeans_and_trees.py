@@ -89,7 +89,7 @@ def test_scores_equal_the_models_own(spark, churn_run):  # noqa: F811
 
 
 def test_missing_features_go_right_and_no_tree_is_no_margin(spark):
-    rows = [(0, 0, 0, 1.5, None, 1, 2, None), (0, 1, -1, None, None, None, None, 1.0), (0, 2, -1, None, None, None, None, -1.0)]
+    rows = [(0, 0, 0, 1.5, None, 1, 2, None, 2.0, 1.0)] + [(0, i, -1, None, None, None, None, 3.0 - 2 * i, 1.0, None) for i in (1, 2)]
     x = spark.createDataFrame([([1.0],), ([2.0],), ([None],)], "x array<double>")
     assert [r["margin"] for r in trees.with_margin(x, trees.tree_rows(spark, rows), F.col("x")).collect()] == [1.0, -1.0, -1.0]
     assert [r["margin"] for r in trees.with_margin(x, trees.tree_rows(spark, []), F.col("x")).collect()] == [0.0] * 3
@@ -151,3 +151,71 @@ def test_attributions_of_deep_paths(spark):
     base = value(deep, deep[0], x[0], set())
     assert phi.sum(axis=1) == pytest.approx([value(deep, deep[0], row, set(range(15))) - base for row in x], abs=1e-9)
     assert max(len(leaf.features) for leaf in explain.leaves_of(deep, 1.0)) == 15
+
+
+def test_importances_equal_the_models_own(spark, churn_run):  # noqa: F811
+    names = churn_run.names
+    got = {r["feature"]: r["importance"] for r in trees.importance(trees.node_table(spark, churn_run.model), names).collect()}
+    want = churn_run.model.featureImportances.toArray()
+    assert [got[n] for n in names] == pytest.approx(list(want), abs=1e-12)
+    none = trees.importance(trees.tree_rows(spark, []), ["a", "b"]).collect()
+    assert [r["importance"] for r in none] == [0.0, 0.0]
+
+
+def plain_tree(x, y, w, depth):
+    """Splits with the largest gain in weighted variance, at midpoints of neighbouring values; a function of a row."""
+    mean = float(np.average(y, weights=w))
+
+    def impurity(part):
+        return float(np.average((y[part] - np.average(y[part], weights=w[part])) ** 2, weights=w[part])) * w[part].sum()
+
+    best = None
+    if depth:
+        whole = impurity(np.ones(len(y), bool))
+        for f in range(x.shape[1]):
+            values = np.unique(x[:, f])
+            for low, high in zip(values, values[1:]):
+                left = x[:, f] <= (low + high) / 2
+                gain = whole - impurity(left) - impurity(~left)
+                if gain > 1e-9 and (best is None or gain > best[0] + 1e-9):
+                    best = (gain, f, (low + high) / 2, left)
+    if best is None:
+        return lambda row: mean
+    _, f, threshold, left = best
+    below, above = plain_tree(x[left], y[left], w[left], depth - 1), plain_tree(x[~left], y[~left], w[~left], depth - 1)
+    return lambda row: below(row) if row[f] <= threshold else above(row)
+
+
+def plain_boosting(x, y, w, rounds, depth, rate, classes):
+    """Margins after ``rounds`` trees: the first fits the label, the others the negative gradient of the loss so far."""
+    target = 2 * y - 1 if classes else y
+    first = plain_tree(x, target, w, depth)
+    margin = np.array([first(row) for row in x])
+    for _ in range(rounds - 1):
+        slope = 4 * target / (1 + np.exp(2 * target * margin)) if classes else 2 * (target - margin)
+        tree = plain_tree(x, slope, w, depth)
+        margin += rate * np.array([tree(row) for row in x])
+    return margin
+
+
+def test_fits_equal_plain_boosting(spark):
+    """Both learners as the reports configure them, on features with few values, where every split is tried."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.regression import GBTRegressor
+
+    from loomcart.plans import churn, clv
+
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 12, (300, 4)).astype(float)
+    y = 3 * x[:, 0] - x[:, 1] * x[:, 2] / 5 + rng.normal(size=300)
+    label = (y + rng.normal(size=300) * 5 > np.median(y)).astype(float)
+    weight = np.where(label > 0, 2.5, 1.0)
+    rows = [(i, Vectors.dense(p), float(a), float(b), float(c)) for i, (p, a, b, c) in enumerate(zip(x, y, label, weight))]
+    df = spark.createDataFrame(rows, ["i", "features", "spend", "churned", "weight"])
+    spend = GBTRegressor(labelCol="spend", maxIter=6, maxDepth=clv.DEPTH, stepSize=clv.RATE, seed=clv.SEED).fit(df)
+    got = [r["prediction"] for r in spend.transform(df).orderBy("i").collect()]
+    assert got == pytest.approx(list(plain_boosting(x, y, np.ones(300), 6, clv.DEPTH, clv.RATE, False)), abs=1e-6)
+    lapse = GBTClassifier(labelCol="churned", weightCol="weight", maxIter=6, maxDepth=churn.DEPTH, stepSize=churn.RATE, seed=churn.SEED).fit(df)
+    got = [r["m"] for r in lapse.transform(df).orderBy("i").select(vector_to_array("rawPrediction")[1].alias("m")).collect()]
+    assert got == pytest.approx(list(plain_boosting(x, label, weight, 6, churn.DEPTH, churn.RATE, True)), abs=1e-6)
