@@ -7,21 +7,19 @@ from pyspark.sql import functions as F
 
 from loomcart.session import broadcast_limit, plan_bytes
 
-#: Rows sampled for each shuffle partition when looking for hot keys. The sample decides how a join is spread, never
-#: which rows it returns, so this bound drops nothing.
-SEEN_PER_PARTITION = 200
+#: Keys that the heavy-hitter sketch follows for each shuffle partition, and at most. The sketch decides how a join is
+#: spread, never which rows it returns.
+TRACKED_PER_PARTITION, TRACKED = 128, 1_000_000
 
 
 def hot_keys(df: DataFrame, key: str) -> list[tuple]:
-    """(key, number of parts) for keys that fill half a shuffle partition or more; at most two keys a partition."""
+    """(key, number of parts) for keys that fill half a shuffle partition or more, at most two keys a partition; one pass."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = df.select(key)
-    rows = keys.count()
-    fraction = min(1.0, SEEN_PER_PARTITION * partitions / max(rows, 1))
-    seen = keys if fraction == 1.0 else keys.sample(fraction, seed=1)
-    half = rows * fraction / partitions / 2
-    found = seen.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > half)
-    return [(r[key], int(r["n"] / half) + 1) for r in found.collect()]
+    tracked = min(TRACKED, TRACKED_PER_PARTITION * partitions)
+    top = F.call_function("approx_top_k", F.col(key), F.lit(min(2 * partitions, tracked)), F.lit(tracked))
+    known = df.where(F.col(key).isNotNull()).select(key).agg(F.count(F.lit(1)).alias("rows"), top.alias("top")).first()
+    half = known["rows"] / partitions / 2
+    return [(r["item"], int(r["count"] / half) + 1) for r in known["top"] or [] if r["count"] > half]
 
 
 def lookup(
