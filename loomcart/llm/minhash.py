@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomcart.llm.common import LAST_ID, UPPER, text_chunks
-from loomcart.session import materialise, ship_package
+from loomcart.session import discard, materialise, ship_package
 
 SHINGLE = 5
 #: At least so many bands, of at most ROWS hashes each: a pair of similarity 0.85 misses all bands with probability
@@ -358,7 +358,9 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(low, "b")
         hung = small.select(F.col("m").alias("a"), "b").union(small.select(F.col("m").alias("a"), F.col("a").alias("b")))
-        edges = materialise(hung.where("a < b").distinct(), "edges")
+        after = materialise(hung.where("a < b").distinct(), "edges")
+        discard(edges)
+        edges = after
     return edges.groupBy("b").agg(F.min("a").alias("component")).withColumnRenamed("b", "node")
 
 
@@ -458,6 +460,8 @@ def near_duplicates(
         .mapInArrow(_crossed(percent, miss), "a long, b long")
     )
     second = materialise(crossed, "crossed")
+    for written in (colliding, pool, bounded, placed, labelled, mixed, screened):  # nothing reads these again
+        discard(written)
 
     found = components(linked.union(second).union(same))
     return (
