@@ -334,3 +334,12 @@ def test_a_changed_file_changes_the_answer(spark, tmp_path):
     some.write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
     after = report(spark, str(tmp_path)).count()
     assert 0 < after <= 20 < before
+
+
+def test_star_revenue_holds_no_sum_per_order(spark):
+    """Lines are summed per day, never into a group for each order, whose map would grow with a task's share of the orders."""
+    from loomcart.catalog import queries
+
+    plan = queries()["star_revenue"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    sums = [text for text in plan.split("\n") if "Aggregate [" in text and "line_total" in text]
+    assert sums and not any("order_id" in text.split("Aggregate [")[1].split("]")[0] for text in sums)
