@@ -17,7 +17,9 @@ SEED = 42
 TEST_PERCENT = 20
 #: Labelled rows that the boosted classifier is fitted on at most, about; those with the smallest key hashes.
 FIT_ROWS = 200_000
-FIT_ROWS_PER_TASK = 25_000
+#: Rows of a task in a fit: of at most ``FIT_TASKS`` tasks that number, of more rows as many as keep a task busy for longer
+#: than it takes to start, up to the last number; beyond that there are more tasks.
+FIT_ROWS_PER_TASK, FIT_TASKS, FIT_ROWS_PER_TASK_AT_MOST = 25_000, 12, 250_000
 
 
 def random_split(df: DataFrame, key: str = "customer_id", percent: int = TEST_PERCENT, seed: int = SEED) -> DataFrame:
@@ -50,17 +52,23 @@ def stratified_split(
     return base.withColumn("is_test", is_test).drop("_hash")
 
 
+def fit_tasks(rows: int) -> int:
+    """Partitions for a fit on ``rows`` rows; they depend on the rows alone, and so does the model."""
+    few = min(math.ceil(rows / FIT_ROWS_PER_TASK), FIT_TASKS)
+    return max(1, few, math.ceil(rows / FIT_ROWS_PER_TASK_AT_MOST))
+
+
 @contextmanager
 def fit_rows(train: DataFrame, key: str, limit: int | None = FIT_ROWS, seed: int = SEED) -> Iterator[DataFrame]:
     """At most about ``limit`` rows of ``train``, or all without a limit, cached in few partitions while the block runs.
 
-    Boosting runs several jobs for each of its rounds, and on few rows their cost is that of starting tasks.
+    Boosting runs several jobs for each of its rounds, and on few rows a task their cost is that of starting tasks.
     """
     total, rows = train.count(), train
     if limit is not None and total > limit:
         rows = train.where(share_between(F.col(key), seed + 1) < math.ceil(2**32 * (limit / total)))
         total = limit
-    kept = rows.repartition(max(1, math.ceil(total / FIT_ROWS_PER_TASK))).drop(key).persist()
+    kept = rows.repartition(fit_tasks(total)).drop(key).persist()
     try:
         yield kept
     finally:
