@@ -15,8 +15,6 @@ from loomcart.session import materialise
 
 SEED = 42
 TEST_PERCENT = 20
-#: Labelled rows that the boosted classifier is fitted on at most, about; those with the smallest key hashes.
-FIT_ROWS = 200_000
 #: Rows of a task in a fit: of at most ``FIT_TASKS`` tasks that number, of more rows as many as keep a task busy for longer
 #: than it takes to start, up to the last number; beyond that there are more tasks.
 FIT_ROWS_PER_TASK, FIT_TASKS, FIT_ROWS_PER_TASK_AT_MOST = 25_000, 12, 250_000
@@ -59,10 +57,11 @@ def fit_tasks(rows: int) -> int:
 
 
 @contextmanager
-def fit_rows(train: DataFrame, key: str, limit: int | None = FIT_ROWS, seed: int = SEED) -> Iterator[DataFrame]:
-    """At most about ``limit`` rows of ``train``, or all without a limit, cached in few partitions while the block runs.
+def fit_rows(train: DataFrame, key: str, limit: int | None = None, seed: int = SEED) -> Iterator[DataFrame]:
+    """All rows of ``train``, or about ``limit`` of them where one is given, cached in few partitions while the block runs.
 
-    Boosting runs several jobs for each of its rounds, and on few rows a task their cost is that of starting tasks.
+    The models give no limit. Boosting runs several jobs for each of its rounds, and on few rows a task their cost is that of
+    starting tasks.
     """
     total, rows = train.count(), train
     if limit is not None and total > limit:

@@ -51,7 +51,7 @@ def churn_class_weight(split: DataFrame) -> DataFrame:
 
 
 def train_churn(star: Star, trees: int = TREES) -> ChurnRun:
-    """Fit on the class-weighted train part; ``scored`` holds every active customer."""
+    """Fit on the whole class-weighted train part; ``scored`` holds every active customer."""
     table = materialise(churn_split(star), "churn")
     encoder = fit_encoder(table.where(~F.col("is_test")), NUMBERS, CATEGORIES)
     encoded = encoder.transform(table)
@@ -68,7 +68,7 @@ def train_churn(star: Star, trees: int = TREES) -> ChurnRun:
         stepSize=RATE,
         seed=SEED,
     )
-    with fit_rows(train, "customer_id") as rows:
+    with fit_rows(train, "customer_id", limit=None) as rows:
         model = learner.fit(rows)
     scored = model.transform(encoded).withColumn("p", vector_to_array("probability")[1])
     return ChurnRun(scored, encoder.names(), model)
