@@ -68,6 +68,15 @@ def test_many_shards(spark, monkeypatch, seed, limit):
     compare(topk.top_k(docs, F.col("doc_id") % 5 == 0, k=4, broadcast_bytes=limit).collect(), brute(rows, 4, 5), 4)
 
 
+def test_neither_shards_nor_query_blocks_are_shuffled_for_each_other(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 5)
+    docs = spark.range(100).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("w"), F.col("id") % 7).alias("text"))
+    found = topk.top_k(docs, F.col("doc_id") % 2 == 0, k=3, broadcast_bytes=-1)
+    search = found._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[1]
+    assert "CartesianProduct" in search and "Exchange" not in search
+    assert found.count() == 50 * 3
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert topk.top_k(docs, F.col("doc_id") % 50 == 0).collect() == []
